@@ -8,6 +8,10 @@ Such lines are found by the hash of their first or last letters, so no two lines
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -20,39 +24,67 @@ SHARE, LEAST = 0.1, 3
 END, BROADCAST_SEEDS = 6, 100_000
 # Characters that scans give for others, and the words of page numbers.
 _LOOKS = {"α": "a", "ν": "v", "ο": "o", "ﬁ": "fi", "ﬂ": "fl", "ﬀ": "ff"}
-PAGE_WORDS = ("page", "pages", "pageof", "pagesof", "p", "pg", "pof", "pgof", "pp", "of", "seite", "seitevon", "s", "svon", "blatt", "sheet", "sheetof", "pageno", "no", "l", "o", "i", "lof", "pagel", "pageofl")
-_NUMBER_ONLY = r"(?i)^[^\p{L}\p{N}]*(?:p(?:a[gq][ec])?[gp]?\.?|seite|blatt|sheet|s\.)?[^\p{L}\p{N}]*(?:no\.?)?[^\p{L}\p{N}]*[\dlIiOoSBZ|]{1,5}(?:[^\p{L}\p{N}]*(?:of|von|/|\|)?[^\p{L}\p{N}]*[\dlIiOoSBZ]{1,5})?[^\p{L}\p{N}]*$"
+PAGE_WORDS = frozenset("page pages pageof pagesof p pg pof pgof pp of seite seitevon s svon blatt sheet sheetof pageno no l o i lof pagel pageofl".split())
+_MARKUP = re.compile(r"<[^>]*>|&#?\w{1,10};")
+_NO_LETTER = re.compile(r"[\W\d_]+")
+_FOLD = str.maketrans(_LOOKS)
+_ASCII = str.maketrans("", "", "".join(c for c in map(chr, range(128)) if not c.isalpha()))
+_NUMBER_ONLY = re.compile(r"[\W_]*(?:p(?:a[gq][ec])?[gp]?\.?|seite|blatt|sheet|s\.)?[\W_]*(?:no\.?)?[\W_]*[\dlioOSBZ|]{1,5}(?:[\W_]*(?:of|von|/|\|)?[\W_]*[\dliOSBZ]{1,5})?[\W_]*", re.IGNORECASE)
 
 
-def visible(line: Column) -> Column:
+def visible(line: str) -> str:
     """The text of a line without markup and entities."""
-    return F.regexp_replace(line, r"<[^>]*>|&#?\w{1,10};", " ")
+    return _MARKUP.sub(" ", line) if "<" in line or "&" in line else line
 
 
-def wording(text: Column) -> Column:
+def wording(text: str) -> str:
     """The letters of a visible text in lower case, without marks for copyright."""
-    t = F.lower(text)
-    for a, b in _LOOKS.items():
-        if len(b) > 1:
-            t = F.replace(t, F.lit(a), F.lit(b))
-    singles = [(a, b) for a, b in _LOOKS.items() if len(b) == 1]
-    t = F.translate(t, "".join(a for a, _ in singles), "".join(b for _, b in singles))
-    return F.regexp_replace(t, r"\(c\)|[^\p{L}]+", "")
-
-
-def lines_of(df: DataFrame, source: str, row: str, text: Column, name: str, *, single: bool = False) -> DataFrame:
+    t = text.lower()
+    if "(c)" in t:
+        t = t.replace("(c)", "")
+    return t.translate(_ASCII) if t.isascii() else _NO_LETTER.sub("", t.translate(_FOLD))
+
+
+def is_page_number(shown: str, letters: str) -> bool:
+    """Whether a visible text, whose wording is letters, is a page number and no more."""
+    return letters in PAGE_WORDS or (len(letters) < 12 and _NUMBER_ONLY.fullmatch(shown) is not None)
+
+
+def _splitter(single: bool):
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            index: list[int] = []
+            numbers: list[int] = []
+            words: list[str] = []
+            size = 0
+
+            def flush():
+                taken = batch.take(pa.array(index, pa.int32()))
+                return pa.RecordBatch.from_arrays([taken.column(0), taken.column(1), pa.array(numbers, pa.int32()), pa.array(words, pa.string())], names=["source", "row_id", "line_no", "wording"])
+
+            for at, text in enumerate(batch.column(2).to_pylist()):
+                for no, line in enumerate((text,) if single else text.split("\n"), 1):
+                    shown = visible(line)
+                    w = wording(shown)
+                    if w and not (len(w) < 12 and is_page_number(shown, w)):
+                        index.append(at)
+                        numbers.append(no)
+                        words.append(w)
+                        size += len(w)
+                if size > 1 << 24:
+                    yield flush()
+                    index, numbers, words, size = [], [], [], 0
+            if index:
+                yield flush()
+
+    return split
+
+
+def lines_of(df: DataFrame, source: str, row: str, text: str, name: str, *, single: bool = False) -> DataFrame:
     """src_table, source, row_id, line_no, wording, h (of source and wording) of every line with a wording; page numbers have none."""
-    rows = df.select(F.lit(name).alias("src_table"), F.coalesce(F.col(source).cast("string"), F.lit("")).alias("source"), F.col(row).alias("row_id"), text.alias("text"))
-    rows = rows.filter(F.col("text").isNotNull())
-    if single:
-        lines = rows.select("src_table", "source", "row_id", F.lit(1).alias("line_no"), F.col("text").alias("line"))
-    else:
-        lines = rows.select("src_table", "source", "row_id", F.posexplode(F.split("text", "\n", -1)).alias("at", "line")).select("src_table", "source", "row_id", (F.col("at") + 1).alias("line_no"), "line")
-    lines = lines.withColumn("shown", visible(F.col("line"))).withColumn("wording", wording(F.col("shown")))
-    w = F.col("wording")
-    page_number = w.isin(*PAGE_WORDS) | ((F.length(w) < 12) & F.col("shown").rlike(_NUMBER_ONLY))
-    lines = lines.filter((w != "") & ~page_number)
-    return lines.select("src_table", "source", "row_id", "line_no", "wording", F.xxhash64("src_table", "source", w).alias("h"))
+    rows = df.select(F.coalesce(F.col(source).cast("string"), F.lit("")).alias("source"), F.col(row).cast("long").alias("row_id"), F.col(text).alias("text")).filter(F.col("text").isNotNull())
+    lines = rows.mapInArrow(_splitter(single), "source string, row_id long, line_no int, wording string").withColumn("src_table", F.lit(name))
+    return lines.select("src_table", "source", "row_id", "line_no", "wording", F.xxhash64("src_table", "source", "wording").alias("h"))
 
 
 def _ends(w: Column) -> Column:
@@ -68,6 +100,7 @@ def standing_lines(lines: DataFrame, n_rows: DataFrame, share: float = SHARE, le
     with fewer rows than `least` have none; lines without letters never are. Null source is a source of
     its own; null texts have no lines.
     """
+    lines = kept(lines)  # each line is cut and folded once
     need = F.greatest(F.lit(float(least)), F.ceil(F.lit(share) * F.col("n") - 1e-9))
     # rows of a hash: equal lines of one row meet in the task that reads it, so partial counts need no distinct
     per_row = lines.groupBy("src_table", "source", "h", "row_id").agg(F.lit(1).alias("one"))
@@ -94,14 +127,14 @@ def standing_lines(lines: DataFrame, n_rows: DataFrame, share: float = SHARE, le
 
 def manual_lines(parsed: DataFrame, sections: DataFrame) -> tuple[DataFrame, DataFrame]:
     """The lines of pages and section headings, and the rows of each device in either table."""
-    lines = lines_of(parsed, "device_id", "page_id", F.col("html"), "parsed").unionByName(lines_of(sections, "device_id", "section_id", F.col("section_heading"), "sections", single=True))
+    lines = lines_of(parsed, "device_id", "page_id", "html", "parsed").unionByName(lines_of(sections, "device_id", "section_id", "section_heading", "sections", single=True))
     count = lambda df, name: df.groupBy(F.coalesce("device_id", F.lit("")).alias("source")).agg(F.count("*").alias("n")).withColumn("src_table", F.lit(name))
     return lines, count(parsed, "parsed").unionByName(count(sections, "sections"))
 
 
 def manual_standing_lines(parsed: DataFrame, sections: DataFrame) -> DataFrame:
     """src_table, row_id, line_no of the standing lines of pages and section headings."""
-    return standing_lines(*manual_lines(parsed, sections)).select("src_table", F.col("row_id").cast("long").alias("row_id"), "line_no")
+    return standing_lines(*manual_lines(parsed, sections)).select("src_table", "row_id", "line_no")
 
 
 def without_lines(df: DataFrame, row: str, text: str, standing: DataFrame, name: str) -> DataFrame:
