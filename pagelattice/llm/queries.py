@@ -1,4 +1,4 @@
-"""Queries of the operators for training text: standing lines (p3), tokens (p6), containers (p7)."""
+"""Queries of the operators for training text: standing lines (p3), tokens (p6), containers (p7), subjects (p8)."""
 
 from __future__ import annotations
 
@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagelattice.llm import packing, standing, tokens
+from pagelattice.llm import packing, standing, subjects, tokens
 from pagelattice.sources.tables import kept, table
 
 
@@ -55,7 +55,19 @@ def p7_fill(spark: SparkSession, d: str) -> DataFrame:
     return packing.fill_report(p7_containers(spark, d), _capacities(spark, d))
 
 
+def _subjects(spark: SparkSession, d: str) -> DataFrame:
+    return subjects.document_subjects(table(spark, d, "documents"), table(spark, d, "subject_labels"), table(spark, d, "subjects"))
+
+
+def p8_found(spark: SparkSession, d: str) -> DataFrame:
+    return _subjects(spark, d).select("doc_id", "subject")
+
+
+def p8_composition(spark: SparkSession, d: str) -> DataFrame:
+    return subjects.composition(_subjects(spark, d))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (p3_found, p3_pages, p3_headings, p6_ids, p6_round_trip, p7_containers, p7_fill)
+    f.__name__: f for f in (p3_found, p3_pages, p3_headings, p6_ids, p6_round_trip, p7_containers, p7_fill, p8_found, p8_composition)
 }
 SQL: dict[str, str] = {}
