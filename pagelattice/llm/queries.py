@@ -1,4 +1,4 @@
-"""Queries of the operators for training text: standing lines (p3), tokens (p6), containers (p7), subjects (p8)."""
+"""Queries of the operators for training text: standing lines (p3), scanned text (p4), tokens (p6), containers (p7), subjects (p8)."""
 
 from __future__ import annotations
 
@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagelattice.llm import packing, standing, subjects, tokens
+from pagelattice.llm import packing, scans, standing, subjects, tokens
 from pagelattice.sources.tables import kept, table
 
 
@@ -27,6 +27,15 @@ def p3_headings(spark: SparkSession, d: str) -> DataFrame:
     return standing.without_lines(sections, "section_id", "section_heading", p3_found(spark, d), "sections")
 
 
+def p4_found(spark: SparkSession, d: str) -> DataFrame:
+    return scans.repaired(table(spark, d, "parsed"), table(spark, d, "sections"))
+
+
+def p4_paragraphs(spark: SparkSession, d: str) -> DataFrame:
+    """The continuous paragraphs of each page and excerpt."""
+    return scans.repaired(table(spark, d, "parsed"), table(spark, d, "sections"), texts=True)
+
+
 def p6_ids(spark: SparkSession, d: str) -> DataFrame:
     return tokens.encode_column(table(spark, d, "documents"), "doc_id", "text")
 
@@ -68,6 +77,6 @@ def p8_composition(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (p3_found, p3_pages, p3_headings, p6_ids, p6_round_trip, p7_containers, p7_fill, p8_found, p8_composition)
+    f.__name__: f for f in (p3_found, p3_pages, p3_headings, p4_found, p4_paragraphs, p6_ids, p6_round_trip, p7_containers, p7_fill, p8_found, p8_composition)
 }
 SQL: dict[str, str] = {}
