@@ -13,18 +13,26 @@ def _blank(v: Column) -> Column:
     return (t == "") | (t == "-")
 
 
+def let(value: Column, f) -> Column:
+    """f of a value that is computed once, however often f uses it; keeps the generated code small too."""
+    return F.get(F.transform(F.array(value), f), 0)
+
+
 def power_value(v: Column) -> Column:
     """An integer, or [-]2^n[-1] with n up to 62, as double; null for anything else."""
-    t = F.replace(F.trim(v), F.lit(" "), F.lit(""))
-    n = F.regexp_extract(t, _POWER, 2)
-    power = F.when(F.regexp_extract(t, _POWER, 1) == "-", -1.0).otherwise(1.0) * F.pow(F.lit(2.0), n.cast("double")) - F.when(F.regexp_extract(t, _POWER, 3) == "-1", 1.0).otherwise(0.0)
-    return F.when(t.rlike(_INT), t.try_cast("double")).when(t.rlike(_POWER) & (n.try_cast("int") <= 62), power)
+
+    def of(t: Column) -> Column:
+        sign = F.when(F.startswith(t, F.lit("-")), -1.0).otherwise(1.0)
+        power = sign * F.pow(F.lit(2.0), F.regexp_extract(t, _POWER, 2).try_cast("double")) - F.when(F.regexp_extract(t, _POWER, 3) == "-1", 1.0).otherwise(0.0)
+        return F.when(t.rlike(_INT), t.try_cast("double")).when(t.rlike(_POWER) & (F.regexp_extract(t, _POWER, 2).try_cast("int") <= 62), power)
+
+    return let(F.replace(F.trim(v), F.lit(" "), F.lit("")), of)
 
 
 def number_value(v: Column) -> Column:
     """A plain number or power; null for - and other text."""
-    t = F.trim(v)
-    return F.when(_blank(v), F.lit(None).cast("double")).otherwise(F.coalesce(power_value(v), F.when(t.rlike(r"^-?\d+(\.\d+)?$"), t.try_cast("double"))))
+    plain = let(F.trim(v), lambda t: F.when(t.rlike(r"^-?\d+(\.\d+)?$"), t.try_cast("double")))
+    return F.when(~_blank(v), F.coalesce(power_value(v), plain))
 
 
 def range_value(v: Column) -> Column:
@@ -32,11 +40,13 @@ def range_value(v: Column) -> Column:
     compact = F.regexp_replace(F.replace(F.trim(v), F.lit(" "), F.lit("")), r"\^\{(\d+)\}", r"^$1")
     g1, g2 = r"^(\d+)-\((2\^\d+(?:-1)?)\)$", r"^\(?(-?2\^\d+)\)?-\(?(-?2\^\d+(?:-1)?)\)?$"
     g3 = r"(?i)^\s*(-?\d+(?:\.\d+)?)\s*(?:to|-)\s*(-?\d+(?:\.\d+)?)\s*$"
-    pair = lambda a, b: F.when(a.isNotNull() & b.isNotNull(), F.struct(a.alias("min"), b.alias("max")))
-    first = F.when(compact.rlike(g1), pair(F.regexp_extract(compact, g1, 1).try_cast("double"), power_value(F.regexp_extract(compact, g1, 2))))
-    second = F.when(compact.rlike(g2), pair(power_value(F.regexp_extract(compact, g2, 1)), power_value(F.regexp_extract(compact, g2, 2))))
-    third = F.when(v.rlike(g3), pair(F.regexp_extract(v, g3, 1).try_cast("double"), F.regexp_extract(v, g3, 2).try_cast("double")))
-    return F.when(~_blank(v), F.coalesce(first, second, third))
+    ends = lambda t, p: F.array(F.regexp_extract(t, p, 1), F.regexp_extract(t, p, 2))
+    texts = let(compact, lambda t: F.when(t.rlike(g1), ends(t, g1)).when(t.rlike(g2), ends(t, g2)))
+    powers = F.transform(texts, power_value)
+    plain = F.when(v.rlike(g3), F.transform(ends(v, g3), lambda t: t.try_cast("double")))
+    both = lambda x: F.when(~F.exists(x, lambda y: y.isNull()), x)
+    pair = F.coalesce(both(powers), both(plain))
+    return let(F.when(~_blank(v), pair), lambda x: F.when(x.isNotNull(), F.struct(F.get(x, 0).alias("min"), F.get(x, 1).alias("max"))))
 
 
 # Printed data types.
@@ -58,11 +68,14 @@ def register_count(data_type_: Column) -> Column:
 
 def unit_and_scale(v: Column) -> Column:
     """struct(unit, scale): a leading number is the scale."""
-    t = F.trim(v)
     p = r"^([+-]?\d+(?:\.\d+)?)\s*(.+)$"
-    plain = F.struct(t.alias("unit"), F.lit(None).cast("double").alias("scale"))
-    scaled = F.struct(F.trim(F.regexp_extract(t, p, 2)).alias("unit"), F.regexp_extract(t, p, 1).try_cast("double").alias("scale"))
-    return F.when(_blank(v), F.struct(F.lit(None).cast("string").alias("unit"), F.lit(None).cast("double").alias("scale"))).when(t.rlike(p) & (F.trim(F.regexp_extract(t, p, 2)) != ""), scaled).otherwise(plain)
+
+    def of(t: Column) -> Column:
+        rest = F.trim(F.regexp_extract(t, p, 2))
+        return F.struct(F.when(rest != "", rest).otherwise(t).alias("unit"), F.when(rest != "", F.regexp_extract(t, p, 1).try_cast("double")).alias("scale"))
+
+    none = F.struct(F.lit(None).cast("string").alias("unit"), F.lit(None).cast("double").alias("scale"))
+    return F.when(_blank(v), none).otherwise(let(F.trim(v), of))
 
 
 def _last_wins(entries: Column) -> Column:

@@ -71,7 +71,7 @@ def _segments(c: Column) -> Column:
 
 def group_path(c: Column) -> Column:
     """Each segment of a path as slug; misc without any."""
-    p = F.array_join(F.transform(_segments(F.coalesce(c, F.lit(""))), slug), "/")
+    p = F.array_join(F.transform(_segments(F.coalesce(c, F.lit(""))), lambda p: slug(p)), "/")
     return F.when(p == "", "misc").otherwise(p)
 
 
@@ -80,7 +80,7 @@ def topic_path(group: Column, topic: Column, heading: Column, index: Column) ->
     parts = _segments(F.coalesce(F.trim(topic), F.lit("")))
     n = F.size(parts)
     seed = F.when(n > 0, F.element_at(parts, -1)).when(F.coalesce(heading, F.lit("")) != "", heading).otherwise(F.format_string("section_%03d", index))
-    own = F.array_join(F.transform(F.slice(parts, 1, F.greatest(n - 1, F.lit(0))), slug), "/")
+    own = F.array_join(F.transform(F.slice(parts, 1, F.greatest(n - 1, F.lit(0))), lambda p: slug(p)), "/")
     folder = F.when((F.coalesce(group, F.lit("")) == "") & (n > 1), own).otherwise(group_path(group))
     return F.concat(folder, F.lit("/"), topic_slug(seed), F.lit(".md"))
 
