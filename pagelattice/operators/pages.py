@@ -32,25 +32,25 @@ def top_blocks(parsed: DataFrame) -> DataFrame:
     )
 
 
-def page_views(parsed: DataFrame) -> DataFrame:
+def page_views(parsed: DataFrame, *carried: str) -> DataFrame:
     """Each page with its whole markup (own, then its direct children's), cleaned text and 1-based number.
 
     The number is the page's own, else the first of a child, else its place in the manual. Pages without
-    text are left out. Null markup counts as empty.
+    text are left out. Null markup counts as empty. Columns in carried come along.
     """
     kids = _children(F.col("children"))
     inner = F.filter(F.transform(kids, lambda v: _string(v, "$.html")), lambda h: h.isNotNull() & (h != ""))
     own = F.when(F.coalesce("html", F.lit("")) != "", F.array("html")).otherwise(F.array().cast("array<string>"))
     full = F.array_join(F.concat(own, F.coalesce(inner, F.array().cast("array<string>"))), "\n")
     first = F.get(F.filter(F.transform(kids, lambda v: _integer(v, "$.page")), lambda p: p.isNotNull()), 0)
-    views = parsed.select("page_id", "manual_id", "device_id", "idx", (F.coalesce("page", first, "idx") + 1).alias("page_num"), "html", full.alias("full_html"))
+    views = parsed.select("page_id", "manual_id", "device_id", "idx", (F.coalesce("page", first, "idx") + 1).alias("page_num"), "html", full.alias("full_html"), *carried)
     return views.withColumn("text", X.clean_spaced(F.col("full_html"))).filter(F.col("text") != "")
 
 
-def classified_pages(views: DataFrame) -> DataFrame:
+def classified_pages(views: DataFrame, *carried: str) -> DataFrame:
     """Each page as a section of its own: heading, kind, group, topic, excerpt of 700 characters."""
     group, heading = C.group_of(F.col("text")), X.heading_of(F.col("full_html"))
-    out = views.select("page_id", "manual_id", "device_id", "idx", "page_num", heading.alias("section_heading"), C.content_type(F.col("text"), F.col("full_html")).alias("content_type"), group.alias("suggested_group"), F.left("text", F.lit(700)).alias("excerpt"))
+    out = views.select("page_id", "manual_id", "device_id", "idx", "page_num", heading.alias("section_heading"), C.content_type(F.col("text"), F.col("full_html")).alias("content_type"), group.alias("suggested_group"), F.left("text", F.lit(700)).alias("excerpt"), *carried)
     return out.withColumn("suggested_knowledge_topic", F.when(F.col("suggested_group").isNotNull(), F.concat("suggested_group", F.lit("/"), X.slug(F.col("section_heading")))))
 
 

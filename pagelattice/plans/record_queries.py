@@ -81,7 +81,32 @@ WITH raw AS (
 )
 """
 
+_WALK = """
+WITH RECURSIVE walk AS (
+  SELECT page_id, CAST([] AS INT[]) AS path, CAST(children AS JSON) AS v, CAST([] AS INT[]) AS parent, coalesce(page, -1) AS eff FROM parsed WHERE json_valid(children)
+  UNION ALL
+  SELECT page_id, list_append(path, CAST(i AS INT)), item, CASE WHEN json_type(v) = 'OBJECT' THEN path ELSE parent END, eff2 FROM (
+    SELECT *, unnest(items) AS item, generate_subscripts(items, 1) AS i FROM (
+      SELECT *, CASE WHEN json_type(v) = 'ARRAY' THEN from_json(v, '["JSON"]') ELSE [json_extract(v, '$.children')] END AS items,
+        CASE WHEN json_type(v) = 'OBJECT' AND json_type(v, '$.page') IN ('UBIGINT', 'BIGINT') THEN CAST(json_extract_string(v, '$.page') AS INT) ELSE eff END AS eff2
+      FROM walk WHERE json_type(v) IN ('ARRAY', 'OBJECT'))
+  ) WHERE json_type(item) IN ('ARRAY', 'OBJECT')
+), nodes AS (
+  SELECT page_id, path, parent, v, row_number() OVER (PARTITION BY page_id ORDER BY path) AS seq, CASE WHEN json_type(v, '$.page') IN ('UBIGINT', 'BIGINT') THEN CAST(json_extract_string(v, '$.page') AS INT) ELSE eff END AS eff
+  FROM walk WHERE json_type(v) = 'OBJECT'
+), numbered AS (
+  SELECT n.page_id, n.seq, coalesce(p.seq, 0) AS parent_seq, n.eff, n.v FROM nodes n LEFT JOIN nodes p ON p.page_id = n.page_id AND p.path = n.parent AND len(n.path) > len(p.path)
+), pictures AS (
+  SELECT page_id, seq, eff, unnest(found) AS x, generate_subscripts(found, 1) AS no FROM (
+    SELECT page_id, seq, eff, list_filter(CASE json_type(v, '$.images') WHEN 'ARRAY' THEN from_json(json_extract(v, '$.images'), '["JSON"]') WHEN 'OBJECT' THEN [json_extract(v, '$.images')] ELSE [] END, lambda x: json_type(x) = 'OBJECT') AS found FROM numbered)
+)
+"""
+
 SQL: dict[str, str] = {
+    "p1_found": _WALK + """
+SELECT page_id, 'node' AS kind, 0 AS item_seq, -1 AS parent_seq, coalesce(page, -1) AS eff_page FROM parsed
+UNION ALL SELECT page_id, 'node', CAST(seq AS INT), CAST(parent_seq AS INT), eff FROM numbered
+UNION ALL SELECT page_id, 'image', CAST(no AS INT), CAST(seq AS INT), eff FROM pictures""",
     "p5_found": _P5 + "SELECT * FROM found",
     "p5_report": _P5 + "SELECT src_table, ref_field, ref_month, reason, count(*) AS n_refs, count(DISTINCT row_id) AS n_rows FROM found GROUP BY ALL",
 }
