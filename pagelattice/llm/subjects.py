@@ -37,6 +37,8 @@ for _l, _words in _FREQUENT.items():
     for _w in _words.split():
         _LANGUAGE_OF.setdefault(_w, []).append(LANGUAGES.index(_l))
 TERMS = BLOCK * len(LANGUAGES)
+#: How many times more frequent with a subject than in what all share a term must be to count for it.
+OWN = 8.0
 #: A paragraph has a subject if so many of its terms, and such a part of those of any subject, are explained by it.
 LEAST_TERMS, LEAST_PART = 1.0, 0.5
 _TINY = 1e-12
@@ -180,7 +182,8 @@ def anchored_profiles(terms: DataFrame, labels: DataFrame, subjects: list[str],
             for t in w:
                 anchored[_bucket(t, 0), of_subject[s]] += 1e-4
     floor = 1e-7 * (counts[:, n:] > 0)
-    return _scaled(np.hstack([_scaled(anchored) + floor, _scaled(counts[:, n:]) + floor]))
+    even = np.maximum(part.max(axis=1, keepdims=True) - 1 / n, 0) * n / max(n - 1, 1)  # 0: as much with every subject, 1: with one alone
+    return _scaled(np.hstack([_scaled(anchored) + floor, _scaled(counts[:, n:] * (1 - even) ** 2) + floor]))
 
 
 def factor(terms: DataFrame, profiles: np.ndarray, passes: int = PASSES) -> np.ndarray:
@@ -200,11 +203,11 @@ def factor(terms: DataFrame, profiles: np.ndarray, passes: int = PASSES) -> np.n
 
 
 def owned_terms(profiles: np.ndarray, n: int) -> np.ndarray:
-    """Whether a term is more a subject's than every subject's: its largest share among the subjects, against the common components."""
+    """Whether a term is a subject's own: far more frequent with it than in what all share, and with few other subjects."""
     subject, common = profiles[:, :n], profiles[:, n:]
     top, rest = subject.max(axis=1), np.maximum(common.max(axis=1), _TINY)
     part = top / np.maximum(subject.sum(axis=1), _TINY)
-    return (top > rest) & (part > 0.3) & (top > 1e-6)
+    return (top > OWN * rest) & (part > max(0.3, min(0.8, 2 / n))) & (top > 1e-6)
 
 
 def subjects_of(terms: DataFrame, profiles: np.ndarray, subjects: list[str]) -> DataFrame:
