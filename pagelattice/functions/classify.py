@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from pagelattice.functions.text import PARAMETER_ID, word_count
+from pagelattice.functions.text import PARAMETER_ID, let, word_count
 
 # Groups and the words that name them, in order.
 GROUPS = (
@@ -41,13 +41,9 @@ TOPIC_KINDS = ("narrative_knowledge", "safety_warning", "wiring_diagram", "block
 
 
 def has_any(text: Column, words: tuple[str, ...]) -> Column:
-    return F.reduce(F.array(*(F.lit(w) for w in words)), F.lit(False), lambda a, w: a | F.contains(text, w)) if len(words) > 40 else _any([F.contains(text, F.lit(w)) for w in words])
-
-
-def _any(conditions: list[Column]) -> Column:
-    out = conditions[0]
-    for c in conditions[1:]:
-        out = out | c
+    out = F.contains(text, F.lit(words[0]))
+    for w in words[1:]:
+        out = out | F.contains(text, F.lit(w))
     return out
 
 
@@ -57,19 +53,25 @@ def has_table(html: Column) -> Column:
 
 def group_of(text: Column) -> Column:
     """The group of a text, null if no word of any is in it. Parts of words count."""
-    t = F.lower(text)
-    out = F.when(F.lit(False), F.lit(None).cast("string"))
-    for name, words in GROUPS:
-        out = out.when(has_any(t, words), name)
-    return out
+
+    def of(t: Column) -> Column:
+        out = F.when(F.lit(False), F.lit(None).cast("string"))
+        for name, words in GROUPS:
+            out = out.when(has_any(t, words), name)
+        return out
+
+    return let(F.lower(text), of)
 
 
 def content_type(text: Column, html: Column) -> Column:
     """The kind of a page by its cleaned text and its markup."""
-    t = F.lower(text)
-    out = F.when(F.lit(False), F.lit(None).cast("string"))
-    for name, table, words, pattern in KINDS:
-        rule = has_any(t, words) if pattern is None else has_any(t, words) | t.rlike(pattern)
-        out = out.when(has_table(html) & rule if table else rule, name)
-    words = word_count(text)
-    return out.when(has_any(t, SAFETY) & (words < 200), "safety_warning").when(words < 15, "cover_page").otherwise("narrative_knowledge")
+
+    def of(x: Column) -> Column:
+        t, words = x["t"], x["words"]
+        out = F.when(F.lit(False), F.lit(None).cast("string"))
+        for name, table, named, pattern in KINDS:
+            rule = has_any(t, named) if pattern is None else has_any(t, named) | t.rlike(pattern)
+            out = out.when(x["table"] & rule if table else rule, name)
+        return out.when(has_any(t, SAFETY) & (words < 200), "safety_warning").when(words < 15, "cover_page").otherwise("narrative_knowledge")
+
+    return let(F.struct(F.lower(text).alias("t"), has_table(html).alias("table"), word_count(text).alias("words")), of)

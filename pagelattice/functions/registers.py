@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from pagelattice.functions.text import let
+
 _INT, _POWER = r"^-?\d+$", r"^(-?)2\^(\d+)(-1)?$"
 
 
@@ -13,11 +15,6 @@ def _blank(v: Column) -> Column:
     return (t == "") | (t == "-")
 
 
-def let(value: Column, f) -> Column:
-    """f of a value that is computed once, however often f uses it; keeps the generated code small too."""
-    return F.get(F.transform(F.array(value), f), 0)
-
-
 def power_value(v: Column) -> Column:
     """An integer, or [-]2^n[-1] with n up to 62, as double; null for anything else."""
 

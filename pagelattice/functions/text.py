@@ -17,6 +17,11 @@ PARAMETER_ID = r"\b[CFRU][0-9A-F]{2}\.[0-9A-F]{2}\b"
 GROUP_CODE = r"(?i)\b[cfru][0-9a-f]{2}\b"
 
 
+def let(value: Column, f) -> Column:
+    """f of a value that is computed once, however often f uses it; keeps the generated code small too."""
+    return F.get(F.transform(F.array(value), f), 0)
+
+
 def squeezed(c: Column) -> Column:
     """Runs of blanks as one space, none at the ends."""
     return F.trim(F.regexp_replace(c, BLANKS, " "))
@@ -87,12 +92,15 @@ def topic_path(group: Column, topic: Column, heading: Column, index: Column) ->
 
 def heading_of(html: Column) -> Column:
     """The first heading of more than three characters, else the first sentence of 5 to 96, else the first ten words."""
+
+    def of_text(text: Column) -> Column:
+        words = F.array_join(F.slice(F.split(text, " "), 1, 10), " ")
+        rest = F.when(text != "", words).otherwise("Untitled section")
+        sentence = F.trim(F.element_at(F.split(text, r"[.!?][\s\x{85}\p{Z}]+", 2), 1))
+        return let(sentence, lambda s: F.when((F.length(s) > 4) & (F.length(s) <= 96), s).otherwise(rest))
+
     heads = F.filter(F.transform(F.regexp_extract_all(html, F.lit(ANY_HEADING), 1), clean_spaced), lambda h: F.length(h) > 3)
-    text = clean_spaced(html)
-    sentence = F.trim(F.element_at(F.split(text, r"[.!?][\s\x{85}\p{Z}]+", 2), 1))
-    words = F.array_join(F.slice(F.split(text, " "), 1, 10), " ")
-    short = (F.length(sentence) > 4) & (F.length(sentence) <= 96)
-    return F.when(F.size(heads) > 0, F.left(F.get(heads, 0), F.lit(96))).when(short, sentence).when(text != "", words).otherwise("Untitled section")
+    return let(F.get(heads, 0), lambda h: F.when(h.isNotNull(), F.left(h, F.lit(96))).otherwise(let(clean_spaced(html), of_text)))
 
 
 def word_count(text: Column) -> Column:
@@ -113,35 +121,51 @@ def table_rows(table: Column) -> Column:
 
 def table_text(table: Column) -> Column:
     """A table in padded columns with a dashed line under the first row; of one row alone, the row."""
-    rows = F.transform(F.regexp_extract_all(table, F.lit(ANY_ROW), 1), lambda r: F.transform(F.regexp_extract_all(r, F.lit(ANY_CELL), 1), clean_joined))
-    rows = F.filter(rows, lambda r: F.exists(r, lambda x: x != ""))
-    columns = F.array_max(F.transform(rows, F.size))
-    at = F.sequence(F.lit(0), columns - 1)
     cell = lambda r, k: F.coalesce(F.get(r, k), F.lit(""))
-    widths = F.transform(at, lambda k: F.greatest(F.lit(3), F.array_max(F.transform(rows, lambda r: F.length(cell(r, k))))))
-    padded = F.transform(rows, lambda r: F.array_join(F.transform(at, lambda k: F.rpad(cell(r, k), F.get(widths, k), F.lit(" "))), " | "))
-    rule = F.array_join(F.transform(widths, lambda w: F.repeat(F.lit("-"), w)), " | ")
-    many = F.array_join(F.concat(F.slice(padded, 1, 1), F.array(rule), F.slice(padded, 2, F.greatest(F.size(padded) - 1, F.lit(0)))), "\n")
-    return F.when(F.size(rows) == 0, "").when(F.size(rows) == 1, F.array_join(F.get(rows, 0), " | ")).otherwise(many)
+
+    def padded(x: Column) -> Column:
+        rows, widths = x["rows"], x["widths"]
+        line = lambda r: F.array_join(F.transform(widths, lambda w, k: F.rpad(cell(r, k), w, F.lit(" "))), " | ")
+        rule = F.array_join(F.transform(widths, lambda w: F.repeat(F.lit("-"), w)), " | ")
+        rest = F.transform(F.slice(rows, 2, F.greatest(F.size(rows) - 1, F.lit(0))), line)
+        return F.array_join(F.concat(F.array(line(F.get(rows, 0)), rule), rest), "\n")
+
+    def of(rows: Column) -> Column:
+        at = F.sequence(F.lit(0), F.array_max(F.transform(rows, F.size)) - 1)
+        widths = F.transform(at, lambda k: F.greatest(F.lit(3), F.array_max(F.transform(rows, lambda r: F.length(cell(r, k))))))
+        many = let(F.struct(rows.alias("rows"), widths.alias("widths")), padded)
+        return F.when(F.size(rows) == 0, "").when(F.size(rows) == 1, F.array_join(F.get(rows, 0), " | ")).otherwise(many)
+
+    rows = F.transform(F.regexp_extract_all(table, F.lit(ANY_ROW), 1), lambda r: F.transform(F.regexp_extract_all(r, F.lit(ANY_CELL), 1), clean_joined))
+    return let(F.filter(rows, lambda r: F.exists(r, lambda x: x != "")), of)
+
+
+def _none() -> Column:
+    return F.array().cast("array<string>")
 
 
 def html_text(html: Column) -> Column:
     """Readable text of a page, by kind: headings, image descriptions, tables, paragraphs, list items; the bare text if there is none."""
-    heads = F.transform(
-        F.regexp_extract_all(html, F.lit(r"(?is)<h[1-6][^>]*>.*?</h[1-6]>"), 0),
-        lambda h: F.struct(F.regexp_extract(h, r"(?i)^<h([1-6])", 1).cast("int").alias("level"), clean_joined(F.regexp_extract(h, ANY_HEADING, 1)).alias("t")),
-    )
+    whole_heading, whole_table = r"(?is)<h[1-6][^>]*>.*?</h[1-6]>", r"(?is)<table.*?</table>"
+    heads = F.transform(F.regexp_extract_all(html, F.lit(whole_heading), 0), lambda h: F.struct(F.regexp_extract(h, r"(?i)^<h([1-6])", 1).cast("int").alias("level"), clean_joined(F.regexp_extract(h, ANY_HEADING, 1)).alias("t")))
     heads = F.transform(F.filter(heads, lambda h: h["t"] != ""), lambda h: F.concat(F.lit("\n"), F.repeat(F.lit("#"), F.least(h["level"] + 1, F.lit(4))), F.lit(" "), h["t"], F.lit("\n")))
-    rest = F.regexp_replace(html, r"(?is)<h[1-6][^>]*>.*?</h[1-6]>", "")
-    images = F.filter(F.transform(F.regexp_extract_all(rest, F.lit(NAMED_IMAGE), 1), F.trim), lambda a: a != "")
-    images = F.transform(images, lambda a: F.concat(F.lit("\n[Image: "), a, F.lit("]\n")))
-    tables = F.filter(F.transform(F.regexp_extract_all(rest, F.lit(r"(?is)<table.*?</table>"), 0), table_text), lambda t: t != "")
-    tables = F.transform(tables, lambda t: F.concat(F.lit("\n"), t, F.lit("\n")))
-    bare = F.regexp_replace(F.regexp_replace(rest, r"(?is)<table.*?</table>", ""), NAMED_IMAGE, "")
-    paragraphs = F.filter(F.transform(F.regexp_extract_all(bare, F.lit(ANY_PARAGRAPH), 1), lambda p: clean_joined(F.regexp_replace(p, r"(?i)<br\s*/?>", "\n"))), lambda p: F.length(p) > 3)
-    items = F.filter(F.transform(F.regexp_extract_all(bare, F.lit(ANY_ITEM), 1), clean_joined), lambda t: t != "")
-    parts = F.concat(heads, images, tables, paragraphs, F.transform(items, lambda t: F.concat(F.lit("- "), t)))
-    return F.regexp_replace(F.when(F.size(parts) > 0, F.array_join(parts, "\n\n")).otherwise(clean_joined(bare)), r"^[\s\x{85}\p{Z}]+|[\s\x{85}\p{Z}]+$", "")
+
+    def of_bare(bare: Column, first: Column) -> Column:
+        paragraphs = F.transform(F.regexp_extract_all(bare, F.lit(ANY_PARAGRAPH), 1), lambda p: clean_joined(F.regexp_replace(p, r"(?i)<br\s*/?>", "\n")))
+        items = F.filter(F.transform(F.regexp_extract_all(bare, F.lit(ANY_ITEM), 1), clean_joined), lambda t: t != "")
+        parts = F.concat(first, F.filter(paragraphs, lambda p: F.length(p) > 3), F.transform(items, lambda t: F.concat(F.lit("- "), t)))
+        return let(parts, lambda x: F.when(F.size(x) > 0, F.array_join(x, "\n\n")).otherwise(clean_joined(bare)))
+
+    def of_rest(rest: Column) -> Column:
+        images = F.filter(F.transform(F.regexp_extract_all(rest, F.lit(NAMED_IMAGE), 1), F.trim), lambda a: a != "")
+        tables = F.filter(F.transform(F.regexp_extract_all(rest, F.lit(whole_table), 0), table_text), lambda t: t != "")
+        around = lambda a, before, after: F.transform(a, lambda x: F.concat(F.lit(before), x, F.lit(after)))
+        some = F.contains(F.lower(rest), F.lit("<table")) | F.contains(F.lower(rest), F.lit("<img"))  # most pages have neither
+        first = F.concat(heads, F.when(some, F.concat(around(images, "\n[Image: ", "]\n"), around(tables, "\n", "\n"))).otherwise(_none()))
+        bare = F.when(some, F.regexp_replace(F.regexp_replace(rest, whole_table, ""), NAMED_IMAGE, "")).otherwise(rest)
+        return let(F.struct(bare.alias("bare"), first.alias("first")), lambda x: of_bare(x["bare"], x["first"]))
+
+    return F.regexp_replace(let(F.regexp_replace(html, whole_heading, ""), of_rest), r"^[\s\x{85}\p{Z}]+|[\s\x{85}\p{Z}]+$", "")
 
 
 def image_refs(html: Column, page_no: Column) -> Column:

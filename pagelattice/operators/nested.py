@@ -124,7 +124,7 @@ def interval_labels(value) -> tuple[list[dict], list[int]]:
     nodes: list[dict] = []
     post: list[int] = []
     done = 0
-    work: list = [value]
+    work: list = [value] if type(value) in (dict, list) else []
     while work:
         x = work.pop()
         if type(x) is int:  # the subtree of node x is complete

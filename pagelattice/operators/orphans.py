@@ -73,12 +73,12 @@ def maybe_in(filter_: np.ndarray, df: DataFrame, cols: list[str]) -> Column:
 
 
 def lifetimes(parents: DataFrame, keys: list[str]) -> DataFrame:
-    """For each key its first begin and its spans (begin, last end of those that began then).
+    """For each key its spans (begin, last end of those that began then).
 
     Rows of one key that began at the same moment are reduced to one span before they meet in a task.
     """
     once = parents.filter(F.col("begins").isNotNull()).groupBy(*keys, "begins").agg(F.max(F.coalesce("ends", F.lit("9999-12-31").cast("timestamp_ntz"))).alias("ends"))
-    return once.groupBy(*keys).agg(F.min("begins").alias("first_begin"), F.collect_list(F.struct("begins", "ends")).alias("spans"))
+    return once.groupBy(*keys).agg(F.collect_list(F.struct("begins", "ends")).alias("__spans"))
 
 
 def orphans(refs: DataFrame, parents: DataFrame, scope: list[str]) -> DataFrame:
@@ -90,7 +90,7 @@ def orphans(refs: DataFrame, parents: DataFrame, scope: list[str]) -> DataFrame:
     begin doesn't exist at any time and counts as none; one without end is alive for ever. A reference
     without time can't be placed: it is an orphan only if its target is missing. Null in a scope column or
     key matches nothing. Repeated references come out as often as they come in. Empty tables are fine: without
-    parents, every reference is missing.
+    parents, every reference is missing. A column `reason` of refs is replaced; parents' other columns are not read.
     """
     cols = [*scope, "ref_key"]
     parents = parents.select(*cols, F.col("begins").cast("timestamp_ntz"), F.col("ends").cast("timestamp_ntz")).filter(F.col("begins").isNotNull())
@@ -101,10 +101,10 @@ def orphans(refs: DataFrame, parents: DataFrame, scope: list[str]) -> DataFrame:
     alive = lifetimes(parents, cols)
     joined = probed.filter("__maybe").drop("__maybe").join(alive, cols, "left")
     at = F.col("at").cast("timestamp_ntz")
-    began = F.exists("spans", lambda s: s["begins"] <= at)
-    living = F.exists("spans", lambda s: (s["begins"] <= at) & (s["ends"] > at))
-    reason = F.when(F.col("spans").isNull(), "missing").when(at.isNull() | living, None).when(began, "deleted").otherwise("late")
-    verified = joined.withColumn("reason", reason).filter(F.col("reason").isNotNull()).drop("spans", "first_begin")
+    began = F.exists("__spans", lambda s: s["begins"] <= at)
+    living = F.exists("__spans", lambda s: (s["begins"] <= at) & (s["ends"] > at))
+    reason = F.when(F.col("__spans").isNull(), "missing").when(at.isNull() | living, None).when(began, "deleted").otherwise("late")
+    verified = joined.withColumn("reason", reason).filter(F.col("reason").isNotNull()).drop("__spans")
     return missing.unionByName(verified)
 
 

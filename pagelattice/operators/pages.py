@@ -84,8 +84,8 @@ def section_pages(sections: DataFrame) -> DataFrame:
 
 def section_bodies(sections: DataFrame, parsed: DataFrame) -> DataFrame:
     """section_id and the readable text of its pages, parted by ---. The range join is an equi-join on the pages of the range."""
-    pages = parsed.filter(F.trim(F.coalesce("html", F.lit(""))) != "").select("manual_id", (F.col("idx") + 1).alias("page_no"), "page_id", X.html_text(F.col("html")).alias("t")).filter("t <> ''")
-    parts = section_pages(sections.select("section_id", "manual_id", "page_start", "page_end")).join(pages, ["manual_id", "page_no"])
+    pages = parsed.filter(F.trim(F.coalesce("html", F.lit(""))) != "").select("manual_id", (F.col("idx") + 1).alias("page_no"), "page_id", X.html_text(F.col("html")).alias("t"))
+    parts = section_pages(sections.select("section_id", "manual_id", "page_start", "page_end")).join(pages, ["manual_id", "page_no"]).filter("t <> ''")
     texts = F.transform(F.array_sort(F.collect_list(F.struct("page_no", "page_id", "t"))), lambda x: x["t"])
     return parts.groupBy("section_id").agg(F.array_join(texts, "\n\n---\n\n").alias("body"))
 

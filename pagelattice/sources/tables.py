@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
 import uuid
@@ -40,15 +41,24 @@ def shared_dir(spark: SparkSession) -> str:
     return spark.sparkContext._pagelattice_dir
 
 
+def _forget(spark: SparkSession, path: str) -> None:
+    try:
+        where = spark._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+    except Exception:  # noqa: BLE001  the session may be gone; the folder is the cluster's to clean then
+        pass
+
+
 def kept(df: DataFrame) -> DataFrame:
     """Writes df as a table in the shared folder and returns the reader of it.
 
     Cuts the lineage: an executor lost later costs a read, not a recomputation, and what is
-    derived twice from df is computed once.
+    derived twice from df is computed once. The table is deleted when the driver ends.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark).rstrip('/')}/kept-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    atexit.register(_forget, spark, path)
     return spark.read.schema(df.schema).parquet(path)
 
 

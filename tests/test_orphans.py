@@ -4,13 +4,13 @@ import numpy as np
 
 from pagelattice.operators import orphans as O
 
-REFS = "id long, m string, ref_key string, at timestamp_ntz, spans string"
+REFS = "id long, m string, ref_key string, at timestamp_ntz, spans string, begins string, ends int, reason string, word long, h1 string"
 PARENTS = "m string, ref_key string, begins timestamp_ntz, ends timestamp_ntz, id long"
 D = lambda n: T(2024, 1, n)
 
 
 def reasons(spark, refs, parents):
-    r = spark.createDataFrame([(i, *x, "clash") for i, x in enumerate(refs)], REFS).drop("spans")
+    r = spark.createDataFrame([(i, *x, "clash", "clash", 1, "old", 2, "clash") for i, x in enumerate(refs)], REFS)
     p = spark.createDataFrame([(*x, 9) for x in parents], PARENTS)
     return {x.id: x.reason for x in O.orphans(r, p, ["m"]).collect()}
 
