@@ -118,7 +118,7 @@ def t2_page_views(spark, d):
 
 
 @query(f"WITH {_PAGES} SELECT page_id, section_heading, content_type, suggested_group, suggested_knowledge_topic, excerpt FROM classified")
-def p2_classified(spark, d):
+def c2_classified(spark, d):
     return pages.classified_pages(pages.page_views(table(spark, d, "parsed"))).select("page_id", "section_heading", "content_type", "suggested_group", "suggested_knowledge_topic", "excerpt")
 
 
@@ -513,12 +513,12 @@ def o6_spot_check(spark, d):
 
 
 @query("SELECT know_id, extraction_confidence, content_completeness FROM knowledge WHERE extraction_confidence = 'low' OR content_completeness = 'stub'")
-def p13_refine_targets(spark, d):
+def c13_refine_targets(spark, d):
     return table(spark, d, "knowledge", "know_id", "extraction_confidence", "content_completeness").filter("extraction_confidence = 'low' or content_completeness = 'stub'")
 
 
 @query("SELECT device_id, arg_max(manual_id, (coalesce(quality_score, -1), parsed_at, manual_id)) AS manual_id, count(*) FILTER (WHERE quality_score < 3.0 AND NOT coalesce(force_ocr_hint_used, false)) AS n_to_retry FROM manuals GROUP BY 1")
-def p16_parse_attempts(spark, d):
+def c16_parse_attempts(spark, d):
     """The best parse of each device, and how many parses call for a retry."""
     retry = F.sum(F.when((F.col("quality_score") < 3.0) & ~F.coalesce("force_ocr_hint_used", F.lit(False)), 1).otherwise(0))
     return table(spark, d, "manuals").groupBy("device_id").agg(F.max_by("manual_id", F.struct(F.coalesce("quality_score", F.lit(-1.0)), "parsed_at", "manual_id")).alias("manual_id"), retry.alias("n_to_retry"))
