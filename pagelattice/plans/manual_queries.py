@@ -546,3 +546,71 @@ def a9_totals(spark, d):
 @query("SELECT DISTINCT manual_id, upper(trim(u.id)) AS id FROM (SELECT manual_id, unnest(related_parameters) AS u FROM knowledge) WHERE u.id IS NOT NULL")
 def a16_related_union(spark, d):
     return table(spark, d, "knowledge").select("manual_id", F.explode("related_parameters").alias("u")).filter("u.id is not null").select("manual_id", F.upper(F.trim("u.id")).alias("id")).distinct()
+
+
+# ---- assembled records, documents and files ----
+
+
+@query(f"SELECT reg_id, coalesce(list_sort(map_keys(value_map)) = ['0', '1'] AND {s_range('value_range', 1)} = 0 AND {s_range('value_range', 2)} = 1, false) AS two_state FROM device_registers")
+def f27_two_state(spark, d):
+    r = R.range_value(F.col("value_range"))
+    return table(spark, d, "device_registers").select("reg_id", R.is_two_state(F.map_keys("value_map"), r["min"], r["max"]).alias("two_state"))
+
+
+@query(f"SELECT reg_id, concat_ws(' ', param_name, CASE WHEN {s_range('value_range', 1)} IS NOT NULL THEN 'Range ' || CAST({s_range('value_range', 1)} AS BIGINT) || ' to ' || CAST({s_range('value_range', 2)} AS BIGINT) || '.' END, 'Default ' || default_value || '.', 'Unit ' || nullif(unit, '') || '.', 'Write condition ' || write_condition || '.', 'Takes effect ' || takes_effect || '.') AS brief FROM device_registers WHERE lower(trim(coalesce(brief, ''))) IN ('', 'no description in manual.') AND NOT contains(coalesce(value_range, ''), '.')")
+def f28_briefs(spark, d):
+    """Briefs written where the manual has none."""
+    r = R.range_value(F.col("value_range"))
+    regs = table(spark, d, "device_registers").filter(R.is_placeholder(F.col("brief")) & ~F.contains(F.coalesce("value_range", F.lit("")), F.lit(".")))
+    brief = R.brief_of(F.col("param_name"), r["min"].cast("bigint").cast("string"), r["max"].cast("bigint").cast("string"), F.lit(None).cast("string"), F.col("default_value"), F.col("unit"), F.col("write_condition"), F.col("takes_effect"))
+    return regs.select("reg_id", brief.alias("brief"))
+
+
+@query(f"WITH f AS (SELECT know_id, unnest(regexp_extract_all(body, '{X.PARAMETER_ID}')) AS id, generate_subscripts(regexp_extract_all(body, '{X.PARAMETER_ID}'), 1) - 1 AS nth, body FROM knowledge WHERE body <> '') SELECT know_id, CAST(nth AS INT) AS nth, id, trim(substr(body, greatest(instr(body, id) - 120, 1), least(120, instr(body, id) - 1) + 166)) AS around FROM f")
+def w8_snippets(spark, d):
+    """The text around each parameter id."""
+    return records.mentions(table(spark, d, "knowledge"), ["know_id"], F.col("body"))
+
+
+@query(f"WITH {_S_MENTIONS} SELECT reg_id, coalesce(CASE WHEN f.id IS NOT NULL THEN greatest(1, f.v.idx - 1) END, source_page) AS source_page FROM device_registers r LEFT JOIN firsts f ON f.manual_id = r.manual_id AND f.id = upper(trim(r.param_id))")
+def j3_mention_pages(spark, d):
+    """The page where a parameter is first named, else its own."""
+    regs = table(spark, d, "device_registers").select("reg_id", "manual_id", F.upper(F.trim("param_id")).alias("id"), "source_page")
+    found = _mentions(spark, d).select("manual_id", "id", R.source_page(F.col("idx")).cast("int").alias("named"))
+    return regs.join(found, ["manual_id", "id"], "left").select("reg_id", F.coalesce("named", "source_page").alias("source_page"))
+
+
+@query(f"WITH {_S_ROWS}, {_S_MENTIONS} SELECT DISTINCT manual_id, id, 'table' AS origin FROM rows UNION ALL SELECT manual_id, id, 'text' FROM firsts f WHERE NOT EXISTS (SELECT 1 FROM rows r WHERE r.manual_id = f.manual_id AND r.id = f.id)")
+def u1_all_records(spark, d):
+    """Parameters of tables, and those that only the text names."""
+    typed = _typed(spark, d).select("manual_id", "id").distinct()
+    text = _mentions(spark, d).select("manual_id", "id").join(typed, ["manual_id", "id"], "left_anti")
+    return typed.withColumn("origin", F.lit("table")).unionByName(text.withColumn("origin", F.lit("text")))
+
+
+@query("SELECT m.manual_id, '1.0' AS schema_version, v.manufacturer, v.model_name AS model, list_sort(list_distinct(list(lower(group_id)) FILTER (WHERE group_id IS NOT NULL))) AS groups, list_sort(list(param_id) FILTER (WHERE param_id IS NOT NULL)) AS parameters FROM manuals m JOIN devices v ON v.device_id = m.device_id JOIN device_registers r ON r.manual_id = m.manual_id GROUP BY ALL")
+def f42_documents(spark, d):
+    """The register document of each manual."""
+    lists = table(spark, d, "device_registers").groupBy("manual_id").agg(F.array_sort(F.collect_set(F.lower("group_id"))).alias("groups"), F.array_sort(F.collect_list("param_id")).alias("parameters"))
+    named = table(spark, d, "manuals").select("manual_id", "device_id").join(table(spark, d, "devices").select("device_id", "manufacturer", F.col("model_name").alias("model")), "device_id")
+    return named.join(lists, "manual_id").select("manual_id", F.lit("1.0").alias("schema_version"), "manufacturer", "model", "groups", "parameters")
+
+
+@query(r"WITH c AS (SELECT DISTINCT manual_id, split_part(regexp_replace(rel_path, '\.md$', ''), '/', 1) AS c FROM knowledge), u AS (SELECT manual_id, list_sort(list(DISTINCT group_id)) AS uncovered FROM device_registers g WHERE coalesce(group_id, '') <> '' AND NOT EXISTS (SELECT 1 FROM c WHERE c.manual_id = g.manual_id AND (c = group_id OR c = split_part(group_id, '/', 1))) GROUP BY 1), t AS (SELECT manual_id, count(*) AS total_parameters FROM device_registers GROUP BY 1) SELECT k.manual_id, any_value(total_parameters) AS total_parameters, list_sort(list(rel_path)) AS paths, coalesce(any_value(uncovered), []) AS uncovered FROM knowledge k LEFT JOIN t ON t.manual_id = k.manual_id LEFT JOIN u ON u.manual_id = k.manual_id GROUP BY 1")
+def f43_indexes(spark, d):
+    """The coverage index of each manual."""
+    k, regs = table(spark, d, "knowledge"), table(spark, d, "device_registers")
+    paths = links.index_sections(k).groupBy("manual_id").agg(F.array_sort(F.collect_list("path")).alias("paths"))
+    open_ = links.uncovered_groups(regs, k).groupBy("manual_id").agg(F.array_sort(F.collect_list("group_id")).alias("uncovered"))
+    totals = regs.groupBy("manual_id").agg(F.count("*").alias("total_parameters"))
+    return paths.join(totals, "manual_id", "left").join(open_, "manual_id", "left").select("manual_id", "total_parameters", "paths", F.coalesce("uncovered", F.array().cast("array<string>")).alias("uncovered"))
+
+
+@query("WITH refs AS (SELECT DISTINCT split_part(replace(u.filename, '\\', '/'), '/', -1) AS filename FROM (SELECT unnest(diagrams) AS u FROM knowledge) WHERE trim(u.filename) <> '') SELECT image_id, filename FROM images i WHERE filename IN (SELECT filename FROM refs) AND filename NOT IN (SELECT filename FROM images WHERE deleted_at IS NOT NULL AND filename IS NOT NULL)")
+def j17_images_to_copy(spark, d):
+    """Images that topics show and that are not there yet; the deleted ones stand for those that are."""
+    from pagelattice.sources.files import images_to_copy
+
+    images = table(spark, d, "images")
+    shown = table(spark, d, "knowledge").select(F.explode("diagrams").alias("u")).select(F.element_at(F.split(F.translate("u.filename", "\\", "/"), "/"), -1).alias("filename"))
+    return images_to_copy(shown, images, images.filter("deleted_at is not null")).select("image_id", "filename")
