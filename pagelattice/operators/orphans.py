@@ -15,6 +15,9 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
+
+from pagelattice.sources.tables import kept
 
 #: Largest filter in bits (8 MB), bits for each key, and probes.
 MAX_BITS, BITS_PER_KEY, PROBES = 1 << 26, 12, 4
@@ -72,13 +75,35 @@ def maybe_in(filter_: np.ndarray, df: DataFrame, cols: list[str]) -> Column:
     return probe(*_hashes(*(F.col(c) for c in cols)))
 
 
-def lifetimes(parents: DataFrame, keys: list[str]) -> DataFrame:
-    """For each key its spans (begin, last end of those that began then).
+_NEVER = "9999-12-31"
+
+
+def _reasons(refs: DataFrame, parents: DataFrame, cols: list[str]) -> DataFrame:
+    """refs with `reason` against the parents of the same cols: missing, late, deleted, or null.
 
-    Rows of one key that began at the same moment are reduced to one span before they meet in a task.
+    Parents and references are laid out together by key and time in ranges of about equal size, so the rows of
+    one hot key are spread over as many ranges as they need. Within a range the last end so far is a running
+    maximum; what earlier ranges of the same key hold comes from one row for each key and range.
     """
-    once = parents.filter(F.col("begins").isNotNull()).groupBy(*keys, "begins").agg(F.max(F.coalesce("ends", F.lit("9999-12-31").cast("timestamp_ntz"))).alias("ends"))
-    return once.groupBy(*keys).agg(F.collect_list(F.struct("begins", "ends")).alias("__spans"))
+    others = [c for c in refs.columns if c not in (*cols, "reason")]
+    end = F.coalesce("ends", F.lit(_NEVER).cast("timestamp_ntz"))
+    once = parents.groupBy(*cols, "begins").agg(F.max(end).alias("ends"))  # those that began together are one
+    row = F.struct(*others)
+    born = once.select(*cols, F.col("begins").alias("__t"), F.lit(0).alias("__ref"), F.col("ends").alias("__end"), F.lit(None).cast(refs.select(row.alias("r")).schema["r"].dataType).alias("__row"))
+    asked = refs.select(*cols, F.col("at").cast("timestamp_ntz").alias("__t"), F.lit(1).alias("__ref"), F.lit(None).cast("timestamp_ntz").alias("__end"), row.alias("__row"))
+    n = int(refs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    laid = kept(born.unionByName(asked).repartitionByRange(n, *cols, "__t", "__ref").withColumn("__range", F.spark_partition_id()))
+    each = laid.groupBy(*cols, "__range").agg(F.max("__end").alias("__last"))
+    by_key = Window.partitionBy(*cols)
+    before = by_key.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
+    carried = each.select(*cols, "__range", F.max("__last").over(before).alias("__carried"), F.max("__last").over(by_key).isNotNull().alias("__known"))
+    so_far = F.max("__end").over(Window.partitionBy(*cols, "__range").orderBy("__t", "__ref").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    met = laid.withColumn("__so_far", so_far).filter("__ref = 1")
+    same = [F.col(f"m.{c}").eqNullSafe(F.col(f"c.{c}")) for c in (*cols, "__range")]
+    met = met.alias("m").join(carried.alias("c"), same).select(*(F.col(f"m.{c}").alias(c) for c in cols), "m.__row", F.greatest("m.__so_far", "c.__carried").alias("__end"), "c.__known")
+    at = F.col("__row")["at"].cast("timestamp_ntz")
+    reason = F.when(~F.col("__known"), "missing").when(at.isNull() | (F.col("__end") > at), None).when(F.col("__end").isNotNull(), "deleted").otherwise("late")
+    return met.withColumn("reason", reason).select(*cols, *(F.col("__row")[c].alias(c) for c in others), "reason")
 
 
 def orphans(refs: DataFrame, parents: DataFrame, scope: list[str]) -> DataFrame:
@@ -93,18 +118,12 @@ def orphans(refs: DataFrame, parents: DataFrame, scope: list[str]) -> DataFrame:
     parents, every reference is missing. A column `reason` of refs is replaced; parents' other columns are not read.
     """
     cols = [*scope, "ref_key"]
-    parents = parents.select(*cols, F.col("begins").cast("timestamp_ntz"), F.col("ends").cast("timestamp_ntz")).filter(F.col("begins").isNotNull())
+    parents = parents.select(*cols, F.col("begins").cast("timestamp_ntz"), F.col("ends").cast("timestamp_ntz")).dropna(subset=[*cols, "begins"])
     n = parents.count()
     hit = maybe_in(bloom_filter(parents, cols, n), refs, cols)
     probed = refs.withColumn("__maybe", hit)
     missing = probed.filter(~F.col("__maybe")).drop("__maybe").withColumn("reason", F.lit("missing"))
-    alive = lifetimes(parents, cols)
-    joined = probed.filter("__maybe").drop("__maybe").join(alive, cols, "left")
-    at = F.col("at").cast("timestamp_ntz")
-    began = F.exists("__spans", lambda s: s["begins"] <= at)
-    living = F.exists("__spans", lambda s: (s["begins"] <= at) & (s["ends"] > at))
-    reason = F.when(F.col("__spans").isNull(), "missing").when(at.isNull() | living, None).when(began, "deleted").otherwise("late")
-    verified = joined.withColumn("reason", reason).filter(F.col("reason").isNotNull()).drop("__spans")
+    verified = _reasons(probed.filter("__maybe").drop("__maybe"), parents, cols).filter(F.col("reason").isNotNull())
     return missing.unionByName(verified)
 
 

@@ -29,6 +29,25 @@ def test_empty_sides_and_repeats(spark):
     assert [x.reason for x in O.orphans(r, p, ["m"]).collect()] == ["late"] * 3
 
 
+def test_against_brute_force_with_a_hot_key(spark):
+    import random
+
+    rng = random.Random(1)
+    day = lambda: D(rng.randint(1, 28)) if rng.random() < 0.95 else None
+    key = lambda: "hot" if rng.random() < 0.6 else rng.choice("abc")
+    parents = [("m", key() if rng.random() < 0.97 else "late", D(rng.randint(3, 28)), day()) for _ in range(40)]
+    parents = [(m, k, b, e if e is None or e >= b else b) for m, k, b, e in parents]
+    refs = [("m", rng.choice(["hot", "hot", "a", "b", "c", "late", "no"]), day()) for _ in range(400)]
+    want = {}
+    for i, (_, k, at) in enumerate(refs):
+        own = [(b, e) for _, k2, b, e in parents if k2 == k]
+        if not own:
+            want[i] = "missing"
+        elif at is not None and not any(b <= at and (e is None or e > at) for b, e in own):
+            want[i] = "deleted" if any(b <= at for b, _ in own) else "late"
+    assert reasons(spark, refs, parents) == want
+
+
 def test_filter_never_denies_a_parent(spark, monkeypatch):
     monkeypatch.setattr(O, "MAX_BITS", 1 << 10)  # far too small: all is verified by the join
     parents = spark.range(5000).selectExpr("cast(id as string) as k")
