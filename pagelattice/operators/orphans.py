@@ -121,7 +121,7 @@ def orphans(refs: DataFrame, parents: DataFrame, scope: list[str]) -> DataFrame:
     parents = parents.select(*cols, F.col("begins").cast("timestamp_ntz"), F.col("ends").cast("timestamp_ntz")).dropna(subset=[*cols, "begins"])
     n = parents.count()
     hit = maybe_in(bloom_filter(parents, cols, n), refs, cols)
-    probed = refs.withColumn("__maybe", hit)
+    probed = kept(refs.withColumn("__maybe", hit))
     missing = probed.filter(~F.col("__maybe")).drop("__maybe").withColumn("reason", F.lit("missing"))
     verified = _reasons(probed.filter("__maybe").drop("__maybe"), parents, cols).filter(F.col("reason").isNotNull())
     return missing.unionByName(verified)
@@ -143,23 +143,25 @@ def is_reference(c: Column) -> Column:
     return c.isNotNull() & ~trimmed(c).isin("", "-")
 
 
+# What each field refers to.
+TARGETS = {"knowledge_ref": "topic", "see_also": "topic", "related_parameters": "register", "diagrams": "image"}
+
+
 def manual_references(registers: DataFrame, knowledge: DataFrame) -> DataFrame:
-    """All references of registers and topic files: src_table, row_id, manual_id, ref_field, target, ref_key, at; one per row, field and key."""
-    know = knowledge.select(
-        F.col("know_id").alias("row_id"), "manual_id", F.col("written_at").alias("at"),
-        F.explode(F.concat(
-            F.coalesce(F.transform("related_parameters", lambda x: F.struct(F.lit("related_parameters").alias("f"), x["id"].alias("k"))), F.array()),
-            F.coalesce(F.transform("see_also", lambda x: F.struct(F.lit("see_also").alias("f"), x.alias("k"))), F.array()),
-            F.coalesce(F.transform("diagrams", lambda x: F.struct(F.lit("diagrams").alias("f"), x["filename"].alias("k"))), F.array()),
-        )).alias("r"),
-    ).select(F.lit("knowledge").alias("src_table"), "row_id", "manual_id", F.col("r.f").alias("ref_field"), F.col("r.k").alias("raw"), "at")
-    regs = registers.select(F.lit("device_registers").alias("src_table"), F.col("reg_id").alias("row_id"), "manual_id", F.lit("knowledge_ref").alias("ref_field"), F.col("knowledge_ref").alias("raw"), F.col("linked_at").alias("at"))
-    raw, field = F.col("raw"), F.col("ref_field")
-    key = F.when(field == "related_parameters", F.upper(trimmed(raw))).when(field == "diagrams", path_key(raw, file=True)).otherwise(path_key(raw))
-    target = F.when(field == "related_parameters", "register").when(field == "diagrams", "image").otherwise("topic")
-    out = regs.unionByName(know).filter(is_reference(raw)).select("src_table", "row_id", "manual_id", "ref_field", target.alias("target"), key.alias("ref_key"), "at")
-    per_row = out.groupBy("src_table", "row_id", "manual_id", "ref_field", "target", "ref_key", "at").agg(F.lit(1).alias("__one")).drop("__one")
-    return per_row.filter(F.col("ref_key") != "")
+    """All references of registers and topic files: src_table, row_id, manual_id, ref_field, target, ref_key, at; each key once for a row and field."""
+
+    def keys(array: Column, field: str, raw) -> Column:
+        key = lambda x: F.upper(trimmed(raw(x))) if field == "related_parameters" else path_key(raw(x), file=field == "diagrams")
+        named = F.array_distinct(F.transform(F.filter(array, lambda x: is_reference(raw(x))), key))
+        return F.coalesce(F.transform(named, lambda k: F.struct(F.lit(field).alias("f"), k.alias("k"))), F.array())
+
+    found = F.concat(keys(F.col("related_parameters"), "related_parameters", lambda x: x["id"]), keys(F.col("see_also"), "see_also", lambda x: x), keys(F.col("diagrams"), "diagrams", lambda x: x["filename"]))
+    know = knowledge.select(F.lit("knowledge").alias("src_table"), F.col("know_id").alias("row_id"), "manual_id", F.explode(found).alias("r"), F.col("written_at").alias("at"))
+    know = know.select("src_table", "row_id", "manual_id", F.col("r.f").alias("ref_field"), F.col("r.k").alias("ref_key"), "at")
+    ref = F.col("knowledge_ref")
+    regs = registers.filter(is_reference(ref)).select(F.lit("device_registers").alias("src_table"), F.col("reg_id").alias("row_id"), "manual_id", F.lit("knowledge_ref").alias("ref_field"), path_key(ref).alias("ref_key"), F.col("linked_at").alias("at"))
+    target = F.when(F.col("ref_field") == "related_parameters", TARGETS["related_parameters"]).when(F.col("ref_field") == "diagrams", TARGETS["diagrams"]).otherwise("topic")
+    return regs.unionByName(know).filter(F.col("ref_key") != "").withColumn("target", target)
 
 
 def manual_targets(registers: DataFrame, knowledge: DataFrame, images: DataFrame) -> DataFrame:
