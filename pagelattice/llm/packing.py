@@ -88,7 +88,7 @@ def plan_containers(histogram: dict[int, int], capacity: int) -> _Plan:
     third = capacity // 3
     large = {s: n for s, n in histogram.items() if s > third and n}
     order = sorted(large)
-    for size in reversed(order):
+    for size in order[::-1]:  # a copy: sizes used up leave order meanwhile
         while (n := large[size]) > 0:
             at = bisect_left(order, capacity - size + 1) - 1
             while at >= 0 and not large[order[at]]:
@@ -126,6 +126,8 @@ def plan_containers(histogram: dict[int, int], capacity: int) -> _Plan:
             else:
                 first, length = plan.take(gap)
                 n = plan.fill(size, n, first, length, gap)
+    if plan.used != {s: n for s, n in histogram.items() if s > 0 and n}:
+        raise AssertionError("the plan does not hold the items of the histogram")
     return plan
 
 

@@ -34,6 +34,15 @@ def test_plan_holds_every_item(case):
     assert half_full <= 1 + sum(1 for s, n in histogram.items() if capacity // 3 < s and 2 * s <= capacity and n)
 
 
+def test_plan_goes_on_after_sizes_are_used_up():
+    hot = Counter(60 if i % 3 == 0 else 10 + i * 7919 % 51 for i in range(3000))  # one size has over a third of the items
+    for histogram in ({60: 3, 55: 2, 40: 1, 39: 1, 38: 1}, dict(hot)):
+        plan = P.plan_containers(histogram, 100)
+        filled = loads(plan, histogram)
+        assert plan.used == histogram and max(filled.values()) <= 100
+        assert sum(filled.values()) == sum(s * n for s, n in histogram.items())
+
+
 def best_fit(sizes, capacity):
     gaps = []
     for s in sorted(sizes, reverse=True):
