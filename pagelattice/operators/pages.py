@@ -8,6 +8,7 @@ from pyspark.sql.window import Window
 
 from pagelattice.functions import classify as C
 from pagelattice.functions import text as X
+from pagelattice.operators import nested
 
 
 def _children(c: Column) -> Column:
@@ -47,6 +48,17 @@ def page_views(parsed: DataFrame, *carried: str) -> DataFrame:
     return views.withColumn("text", X.clean_spaced(F.col("full_html"))).filter(F.col("text") != "")
 
 
+def page_nodes(parsed: DataFrame) -> DataFrame:
+    """Each page and every node below it at any depth: manual_id, idx, page_id, node_seq (0 for the page, then pre-order), page, html.
+
+    page is the nearest one named on the way up; null without any. Reading order: idx, page_id, node_seq.
+    """
+    keys = ["manual_id", "idx", "page_id"]
+    own = parsed.select(*keys, F.lit(0).alias("node_seq"), F.col("page").cast("int").alias("page"), "html")
+    below = nested.block_table(parsed, keys).select(*keys, "node_seq", F.when(F.col("eff_page") != -1, F.col("eff_page")).alias("page"), "html")
+    return own.unionByName(below)
+
+
 def classified_pages(views: DataFrame, *carried: str) -> DataFrame:
     """Each page as a section of its own: heading, kind, group, topic, excerpt of 700 characters."""
     group, heading = C.group_of(F.col("text")), X.heading_of(F.col("full_html"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 from pyspark.sql.window import Window
 
 from pagelattice.functions import registers as R
@@ -123,6 +124,15 @@ def first_mentions(found: DataFrame, scope: list[str], order: list[str]) -> Data
     return first.select(*scope, "id", "v.*")
 
 
+def text_records(found: DataFrame, scope: list[str], order: list[str]) -> DataFrame:
+    """A record of the shape of MERGED for each id that found (mentions with their page) names: its first surroundings as brief, its first known page."""
+    place = F.struct(*order)
+    first = found.groupBy(*scope, "id").agg(F.min_by("around", place).alias("brief"), F.min_by("page", F.when(F.col("page").isNotNull(), place)).alias("page"))
+    given = {"id": F.col("id"), "name": F.col("id"), "brief": F.col("brief"), "data_type": F.lit("uint16"), "access": R.access_of(F.col("id")), "source_page": R.source_page(F.col("page")), "register_count": F.lit(1), "priority": F.lit(0)}
+    fields = StructType.fromDDL(MERGED)
+    return first.select(*scope, *(given.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in fields))
+
+
 def group_labels(lines: DataFrame, scope: list[str], order: str) -> DataFrame:
     """group_id and label of `| 8.n | Label (Cxx) |` lines; the last line of a group counts."""
     p = r"\|\s*8\.\d+\s*\|\s*([^|]+?)\s*\((?:[0-9A-Fa-f]+h/)?([CFRU][0-9A-Fa-f]{2})\)\s*\|"

@@ -588,6 +588,14 @@ def u1_all_records(spark, d):
     return typed.withColumn("origin", F.lit("table")).unionByName(text.withColumn("origin", F.lit("text")))
 
 
+@query()
+def u1_parsed_records(spark, d):
+    """The pipeline's records of the tables and texts of all nodes of parsed."""
+    from pagelattice.plans import pipeline
+
+    return pipeline.from_tables(pages.page_nodes(table(spark, d, "parsed")))
+
+
 @query("SELECT m.manual_id, '1.0' AS schema_version, v.manufacturer, v.model_name AS model, list_sort(list_distinct(list(lower(group_id)) FILTER (WHERE group_id IS NOT NULL))) AS groups, list_sort(list(param_id) FILTER (WHERE param_id IS NOT NULL)) AS parameters FROM manuals m JOIN devices v ON v.device_id = m.device_id JOIN device_registers r ON r.manual_id = m.manual_id GROUP BY ALL")
 def f42_documents(spark, d):
     """The register document of each manual."""

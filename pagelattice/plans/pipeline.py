@@ -8,10 +8,12 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pagelattice.functions import classify as C
+from pagelattice.functions import text as X
 from pagelattice.operators import links, pages, records
 from pagelattice.sources.tables import kept
 
-#: Extractors by name: from pages with markup to parameter records. Manuals of another make register their own; there is no silent fallback.
+#: Extractors by name: from the nodes of pages (pages.page_nodes) to parameter records. Manuals of another make register their own; there is no silent fallback.
 EXTRACTORS: dict[str, Callable[[DataFrame], DataFrame]] = {}
 
 
@@ -25,11 +27,16 @@ def extractor(name: str):
 
 @extractor("tables")
 def from_tables(nodes: DataFrame) -> DataFrame:
-    """manual_id, page, html (in reading order by page_id) to one finished record for each parameter of a manual."""
-    keys = ["manual_id", "page_id", "page"]
-    raw = records.raw_records(records.html_tables(nodes.select(*keys, "html"), keys), keys)
-    merged = records.merge_records(records.typed_records(raw, keys, F.col("page")), ["manual_id"], ["page_id", "table_no", "row_no"])
-    return records.finished_records(merged)
+    """Nodes of pages.page_nodes to one finished record for each parameter of a manual: those of tables, and those that only text names."""
+    keys = ["manual_id", "idx", "page_id", "node_seq", "page"]
+    order = ["idx", "page_id", "node_seq"]
+    table = C.has_table(F.col("html"))
+    shown = nodes.filter(F.col("html").isNotNull()).select(*keys, table.alias("has_table"), F.when(table, F.col("html")).otherwise(X.clean_cell(F.col("html"))).alias("html"))
+    shown = kept(shown.filter(F.col("has_table") | F.col("html").rlike(X.PARAMETER_ID)))  # read for tables and for text
+    raw = records.raw_records(records.html_tables(shown.filter("has_table"), keys), keys)
+    merged = kept(records.merge_records(records.typed_records(raw, keys, F.col("page")), ["manual_id"], [*order, "table_no", "row_no"]))
+    named = records.text_records(records.mentions(shown.filter("not has_table"), keys, F.col("html")), ["manual_id"], [*order, "nth"])
+    return records.finished_records(merged.unionByName(named.join(merged.select("manual_id", "id").hint("merge"), ["manual_id", "id"], "left_anti")))
 
 
 @dataclass
@@ -46,8 +53,7 @@ def run(parsed: DataFrame, knowledge: DataFrame, registers: DataFrame | None, im
     how = how or Run()
     if how.with_registers and how.extractor not in EXTRACTORS:
         raise ValueError(f"no extractor {how.extractor}; there are {sorted(EXTRACTORS)}")
-    views = kept(pages.page_views(parsed))  # read by the classifier and the extractor
-    sections = pages.merged_sections(pages.classified_pages(views))
+    sections = pages.merged_sections(pages.classified_pages(pages.page_views(parsed)))
     if "sections" in how.hooks:
         sections = how.hooks["sections"](sections)
     out = {"sections": sections.withColumn("section_id", F.xxhash64("manual_id", "sec_no"))}
@@ -55,7 +61,7 @@ def run(parsed: DataFrame, knowledge: DataFrame, registers: DataFrame | None, im
     out["topics"] = how.hooks["topics"](topics) if "topics" in how.hooks else topics
     out["index"] = links.index_sections(knowledge)
     if how.with_registers:
-        out["extracted"] = EXTRACTORS[how.extractor](views.select("manual_id", "page_id", (F.col("page_num") - 1).alias("page"), F.col("full_html").alias("html")))
+        out["extracted"] = EXTRACTORS[how.extractor](pages.page_nodes(parsed))
     if how.with_registers and registers is not None:
         out["linked"] = links.link_parameters(registers, knowledge)
         out["uncovered"] = links.uncovered_groups(registers, knowledge)

@@ -1,4 +1,6 @@
+import json
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -6,7 +8,7 @@ from pyspark.sql import functions as F
 from pagelattice.functions import classify as C
 from pagelattice.functions import registers as R
 from pagelattice.functions import text as X
-from pagelattice.operators import links, pages, records
+from pagelattice.operators import links, nested, pages, records
 
 
 def ask(spark, make, *values):
@@ -131,3 +133,40 @@ def test_empty_tables(spark, read, name):
         assert pages.merged_sections(pages.classified_pages(pages.page_views(df))).count() == 0
     else:
         assert pages.section_bodies(df, read("parsed")).count() == 0
+
+
+def test_records_of_nodes_at_any_depth(spark):
+    from pagelattice.plans import pipeline
+
+    cells = lambda *c: "<tr>%s</tr>" % "".join(f"<td>{x}</td>" for x in c)
+    markup = lambda *rows: "<table>%s%s</table>" % (cells("Parameter", "Name"), "".join(cells(*r) for r in rows))
+    deep = [{"html": "<p>See C00.09 or C00.01</p>", "children": [{"page": 7, "children": [{"html": markup(("C00.01", "Deep"))}]}]}, {"html": markup(("C00.02", "Flat"))}, {"page": 9, "html": "<p>C00.09 again</p>"}]
+    rows = [("m", 0, 1, None, None, json.dumps(deep)), ("m", 1, 2, 20, markup(("C00.03", "Own")), None)]
+    df = spark.createDataFrame(rows, "manual_id string, idx int, page_id long, page int, html string, children string")
+    assert [(r.page_id, r.node_seq, r.page) for r in pages.page_nodes(df).orderBy("page_id", "node_seq").collect()] == [(1, 0, None), (1, 1, None), (1, 2, 7), (1, 3, 7), (1, 4, None), (1, 5, 9), (2, 0, 20)]
+    got = {r.id: (r.name, r.source_page, r.brief, r.priority) for r in pipeline.from_tables(pages.page_nodes(df)).collect()}
+    assert got == {"C00.01": ("Deep", 6, "Deep", 1), "C00.02": ("Flat", None, "Flat", 1), "C00.03": ("Own", 19, "Own", 1), "C00.09": ("C00.09", 8, "See C00.09 or C00.01", 0)}
+
+
+def test_every_id_of_parsed_is_extracted(spark, small, read):
+    from pagelattice.plans import manual_queries
+
+    want = set()
+    for r in read("parsed").collect():
+        work = [{"html": r.html, "children": nested.parse_json(r.children)[1]}]
+        while work:
+            node = work.pop()
+            work += [x for v in (node.values() if isinstance(node, dict) else node) for x in [v] if isinstance(x, (dict, list))]
+            text = node.get("html") if isinstance(node, dict) else None
+            if not isinstance(text, str):
+                continue
+            if "<table" in text.lower():
+                for t in re.findall(r"(?is)<table[^>]*>.*?</table>", text):
+                    lines = [[re.sub(r"<[^>]+>", " ", c).strip() for c in re.findall(r"(?is)<t[dh][^>]*>(.*?)</t[dh]>", x)] for x in re.findall(r"(?is)<tr[^>]*>(.*?)</tr>", t)]
+                    lines = [x for x in lines if x] or [[]]
+                    at = [next((i for i, h in enumerate(lines[0]) if k in h.lower()), None) for k in ("parameter", "name")]
+                    want |= {(r.manual_id, x[at[0]].upper()) for x in lines[1:] if None not in at and len(x) > max(at) and re.fullmatch(r"[CFRU][0-9A-F]{2}\.[0-9A-F]{2}", x[at[0]].upper())}
+            else:
+                want |= {(r.manual_id, x) for x in re.findall(r"\b[CFRU][0-9A-F]{2}\.[0-9A-F]{2}\b", re.sub(r"<[^>]+>", " ", text))}
+    got = [(r.manual_id, r.id) for r in manual_queries.u1_parsed_records(spark, small).collect()]
+    assert len(got) == len(set(got)) and set(got) == want and want
