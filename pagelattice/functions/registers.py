@@ -32,20 +32,43 @@ def number_value(v: Column) -> Column:
     return F.when(~_blank(v), F.coalesce(power_value(v), plain))
 
 
-def range_value(v: Column) -> Column:
-    """struct(min, max) of a printed range by three grammars in turn; null if none fits."""
+def _limits(v: Column, power, plain) -> Column:
+    """struct(min, max) of a printed range by three grammars in turn, its ends read by power or plain; null if none fits."""
     compact = F.regexp_replace(F.replace(F.trim(v), F.lit(" "), F.lit("")), r"\^\{(\d+)\}", r"^$1")
     g1, g2 = r"^(\d+)-\((2\^\d+(?:-1)?)\)$", r"^\(?(-?2\^\d+)\)?-\(?(-?2\^\d+(?:-1)?)\)?$"
     g3 = r"(?i)^\s*(-?\d+(?:\.\d+)?)\s*(?:to|-)\s*(-?\d+(?:\.\d+)?)\s*$"
     ends = lambda t, p: F.array(F.regexp_extract(t, p, 1), F.regexp_extract(t, p, 2))
     texts = let(compact, lambda t: F.when(t.rlike(g1), ends(t, g1)).when(t.rlike(g2), ends(t, g2)))
-    powers = F.transform(texts, power_value)
-    plain = F.when(v.rlike(g3), F.transform(ends(v, g3), lambda t: t.try_cast("double")))
+    powers = F.transform(texts, power)
+    plain_ = F.when(v.rlike(g3), F.transform(ends(v, g3), plain))
     both = lambda x: F.when(~F.exists(x, lambda y: y.isNull()), x)
-    pair = F.coalesce(both(powers), both(plain))
+    pair = F.coalesce(both(powers), both(plain_))
     return let(F.when(~_blank(v), pair), lambda x: F.when(x.isNotNull(), F.struct(F.get(x, 0).alias("min"), F.get(x, 1).alias("max"))))
 
 
+def range_value(v: Column) -> Column:
+    """struct(min, max) of a printed range by three grammars in turn; null if none fits."""
+    return _limits(v, power_value, lambda t: t.try_cast("double"))
+
+
+def _limit_text(t: Column) -> Column:
+    """A plain number without needless zeros: 7 for 007, 0.5 for 0.50, 88.0 for 88.0."""
+    short = F.regexp_replace(F.regexp_replace(t, r"^(-?)0+(?=\d)", "$1"), r"(\.\d+?)0+$", "$1")
+    return F.when(short == "-0", "0").otherwise(short)
+
+
+def _power_text(t: Column) -> Column:
+    """An integer or power as digits; null for what power_value doesn't read."""
+    digits = F.pow(F.lit(2.0), F.regexp_extract(t, _POWER, 2).try_cast("double")).try_cast("bigint")
+    value = F.when(F.startswith(t, F.lit("-")), -digits).otherwise(digits) - F.when(F.regexp_extract(t, _POWER, 3) == "-1", 1).otherwise(0)
+    return F.when(t.rlike(_INT), _limit_text(t)).when(power_value(t).isNotNull(), value.cast("string"))
+
+
+def range_texts(v: Column) -> Column:
+    """As range_value, with the limits as a brief prints them: whole numbers as such, decimal ones with their point."""
+    return _limits(v, _power_text, _limit_text)
+
+
 # Printed data types.
 DATA_TYPES = {"u16": "uint16", "i16": "int16", "u32": "uint32", "i32": "int32", "f32": "float32", "bool": "bool"}
 

@@ -566,6 +566,15 @@ def f28_briefs(spark, d):
     return regs.select("reg_id", brief.alias("brief"))
 
 
+@query()
+def f28_all_briefs(spark, d):
+    """Briefs written where the manual has none, whatever the form of the range; f28_briefs has those without a point in it."""
+    r = R.range_texts(F.col("value_range"))
+    regs = table(spark, d, "device_registers").filter(R.is_placeholder(F.col("brief")))
+    brief = R.brief_of(F.col("param_name"), r["min"], r["max"], F.lit(None).cast("string"), F.col("default_value"), F.col("unit"), F.col("write_condition"), F.col("takes_effect"))
+    return regs.select("reg_id", brief.alias("brief"))
+
+
 @query(f"WITH f AS (SELECT know_id, unnest(regexp_extract_all(body, '{X.PARAMETER_ID}')) AS id, generate_subscripts(regexp_extract_all(body, '{X.PARAMETER_ID}'), 1) - 1 AS nth, body FROM knowledge WHERE body <> '') SELECT know_id, CAST(nth AS INT) AS nth, id, trim(substr(body, greatest(instr(body, id) - 120, 1), least(120, instr(body, id) - 1) + 166)) AS around FROM f")
 def w8_snippets(spark, d):
     """The text around each parameter id."""

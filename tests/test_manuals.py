@@ -170,3 +170,33 @@ def test_every_id_of_parsed_is_extracted(spark, small, read):
                 want |= {(r.manual_id, x) for x in re.findall(r"\b[CFRU][0-9A-F]{2}\.[0-9A-F]{2}\b", re.sub(r"<[^>]+>", " ", text))}
     got = [(r.manual_id, r.id) for r in manual_queries.u1_parsed_records(spark, small).collect()]
     assert len(got) == len(set(got)) and set(got) == want and want
+
+
+def test_limits_as_printed(spark):
+    got = ask(spark, R.range_texts, "0.0-88.50", "007 to 1.5", "-0.10 - 0.1", "-2^31-(2^31-1)", "0-(2^62-1)", "-0-5", "0 .. 5", "-", None)
+    assert [tuple(x) if x else None for x in got] == [("0.0", "88.5"), ("7", "1.5"), ("-0.1", "0.1"), ("-2147483648", "2147483647"), ("0", str(2**62 - 1)), ("0", "5"), None, None, None]
+
+
+def test_briefs_of_all_registers(spark, small, read):
+    from pagelattice.plans import manual_queries
+
+    def limit(t):
+        t = t.strip("()")
+        if "^" in t:
+            n = re.fullmatch(r"(-?)2\^(\d+)(-1)?", t)
+            return str((-1 if n[1] else 1) * 2 ** int(n[2]) - (1 if n[3] else 0))
+        return str(float(t) if "." in t else int(t))
+
+    want = {}
+    for r in read("device_registers").collect():
+        if (r.brief or "").strip().lower() not in ("", "no description in manual."):
+            continue
+        v = re.sub(r"\^\{(\d+)\}", r"^\1", r.value_range or "")
+        m = re.fullmatch(r"(?i)\s*(-?\d+(?:\.\d+)?)\s*(?:to|-)\s*(-?\d+(?:\.\d+)?)\s*", v)
+        m = m or re.fullmatch(r"(\d+)-(\(2\^\d+(?:-1)?\))", v.replace(" ", "")) or re.fullmatch(r"\(?(-?2\^\d+)\)?-(\(?-?2\^\d+(?:-1)?\)?)", v.replace(" ", ""))
+        parts = [r.param_name, f"Range {limit(m[1])} to {limit(m[2])}." if m else None]
+        parts += [f"{k} {x}." if x is not None else None for k, x in (("Default", r.default_value), ("Unit", r.unit or None), ("Write condition", r.write_condition), ("Takes effect", r.takes_effect))]
+        want[r.reg_id] = " ".join(x for x in parts if x is not None)
+    got = {r.reg_id: r.brief for r in manual_queries.f28_all_briefs(spark, small).collect()}
+    assert got == want and any(re.search(r"Range -?\d+\.\d", x) for x in got.values())
+    assert {r.reg_id: r.brief for r in manual_queries.f28_briefs(spark, small).collect()}.items() <= got.items()
