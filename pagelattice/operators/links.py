@@ -103,7 +103,10 @@ def _finding(df: DataFrame, severity: str, rule: str, subject) -> DataFrame:
 
 
 def findings(registers: DataFrame, knowledge: DataFrame, images: DataFrame, totals: DataFrame, groups: DataFrame | None = None) -> DataFrame:
-    """manual_id, severity (E or W), rule, subject of every breach of the integrity rules. totals: manual_id, total of an index."""
+    """manual_id, severity (E or W), rule, subject of every breach of the integrity rules. totals: manual_id, total of an index.
+
+    Bitfields without a layout are told only where registers has a column bit_layout.
+    """
     from pagelattice.operators.records import nth_of
 
     has_id = F.trim(F.coalesce("param_id", F.lit(""))) != ""
@@ -127,9 +130,12 @@ def findings(registers: DataFrame, knowledge: DataFrame, images: DataFrame, tota
         _finding(flat(F.transform("related_parameters", lambda d: d["id"])).distinct().join(registers.select("manual_id", F.col("param_id").alias("r")).distinct(), ["manual_id", "r"], "left_anti"), "W", "missing_parameter", F.col("r")),
         _finding(count.join(totals, "manual_id").filter("n <> total"), "E", "index_total", F.col("total")),
     ]
+    if "bit_layout" in registers.columns:
+        out.append(_finding(good.filter((F.col("data_type") == "bitfield") & (F.coalesce(F.size("bit_layout"), F.lit(0)) <= 0)), "E", "bitfield_without_layout", subject))
     if groups is not None:
         listed = groups.select("manual_id").distinct()
-        out.append(_finding(good.join(listed, "manual_id", "left_semi").join(groups.select("manual_id", "group_id").distinct(), ["manual_id", "group_id"], "left_anti"), "E", "unknown_group", subject))
+        named = groups.select("manual_id", F.lower("group_id").alias("g")).distinct()  # group codes differ in case between tables
+        out.append(_finding(good.join(listed, "manual_id", "left_semi").withColumn("g", F.lower("group_id")).join(named, ["manual_id", "g"], "left_anti"), "E", "unknown_group", subject))
     result = out[0]
     for x in out[1:]:
         result = result.unionByName(x)

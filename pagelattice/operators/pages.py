@@ -147,3 +147,15 @@ def unique_paths(rows: DataFrame) -> DataFrame:
     types = dict(alone.dtypes)
     ddl = ", ".join(f"{c} {types[c]}" for c in alone.columns)
     return alone.unionByName(keyed.filter("met > 1").groupBy("manual_id", "stem").applyInPandas(resolve, ddl))
+
+
+def with_unique_paths(topics: DataFrame) -> DataFrame:
+    """Topics with their rel_path made unique. topics is read twice: give a stored table."""
+    return topics.drop("rel_path").join(unique_paths(topics).select("section_id", "rel_path"), "section_id").select(*topics.columns)
+
+
+def topic_knowledge(topics: DataFrame, diagrams: DataFrame) -> DataFrame:
+    """Topics and the diagrams of their sections in the columns of the table knowledge that links and checks read; know_id counts in each manual."""
+    shown = diagrams.groupBy("section_id").agg(F.array_sort(F.collect_list(F.struct("filename", "content_summary", "source_page"))).alias("diagrams"))
+    related = F.transform("related_parameters", lambda x: F.struct(x.alias("id")))
+    return topics.join(shown, "section_id", "left").select(F.col("no").cast("long").alias("know_id"), "manual_id", "rel_path", F.lit(None).cast("string").alias("section_ref"), "title", "extraction_confidence", "content_completeness", related.alias("related_parameters"), F.array().cast("array<string>").alias("see_also"), "diagrams")

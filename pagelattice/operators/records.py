@@ -108,6 +108,14 @@ def finished_records(merged: DataFrame) -> DataFrame:
     return out.withColumn("brief", F.when(R.is_placeholder(F.col("brief")), brief).otherwise(F.col("brief"))).drop("two")
 
 
+def record_registers(records: DataFrame) -> DataFrame:
+    """Records in the columns of the table device_registers that links and checks read, and bit_layout; reg_id counts in each manual."""
+    limit = lambda c: F.when(c == F.floor(c), c.cast("bigint").cast("string")).otherwise(c.cast("string"))
+    nth = F.row_number().over(Window.partitionBy("manual_id").orderBy("id")).cast("long")
+    span = F.concat(limit(F.col("low")), F.lit("-"), limit(F.col("high")))
+    return records.select(nth.alias("reg_id"), "manual_id", F.col("id").alias("param_id"), F.lower(F.substring_index("id", ".", 1)).alias("group_id"), "data_type", span.alias("value_range"), "value_map", "bit_layout", F.lit(None).cast("string").alias("knowledge_ref"), R.modbus_block(F.col("id"), F.col("data_type")).alias("modbus"))
+
+
 def mentions(nodes: DataFrame, keys: list[str], text: Column) -> DataFrame:
     """keys, id, nth of each parameter id in a text, and the text around it (120 characters before, 160 after)."""
     t = nodes.select(*keys, text.alias("t")).filter(F.col("t") != "")

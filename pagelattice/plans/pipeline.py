@@ -48,24 +48,38 @@ class Run:
     hooks: dict[str, Callable[[DataFrame], DataFrame]] = field(default_factory=dict)
 
 
-def run(parsed: DataFrame, knowledge: DataFrame, registers: DataFrame | None, images: DataFrame, how: Run | None = None) -> dict[str, DataFrame]:
-    """The tables of a run by name. Without registers (or with_registers False), what needs them is left out."""
+def run(parsed: DataFrame, knowledge: DataFrame | None, registers: DataFrame | None, images: DataFrame, how: Run | None = None) -> dict[str, DataFrame]:
+    """The tables of a run by name. With with_registers False, what needs registers is left out.
+
+    Without knowledge or registers, the run's own topics or records are linked, indexed and checked; those of an
+    earlier run take their place where given. Index totals and groups are always those of the run's own records.
+    """
     how = how or Run()
     if how.with_registers and how.extractor not in EXTRACTORS:
         raise ValueError(f"no extractor {how.extractor}; there are {sorted(EXTRACTORS)}")
     sections = pages.merged_sections(pages.classified_pages(pages.page_views(parsed)))
     if "sections" in how.hooks:
         sections = how.hooks["sections"](sections)
-    out = {"sections": sections.withColumn("section_id", F.xxhash64("manual_id", "sec_no"))}
-    topics = pages.topic_rows(out["sections"], pages.section_bodies(out["sections"], parsed))
-    out["topics"] = how.hooks["topics"](topics) if "topics" in how.hooks else topics
+    out = {"sections": kept(sections.withColumn("section_id", F.xxhash64("manual_id", "sec_no")))}
+    topics = pages.with_unique_paths(kept(pages.topic_rows(out["sections"], pages.section_bodies(out["sections"], parsed))))
+    out["topics"] = kept(how.hooks["topics"](topics) if "topics" in how.hooks else topics)
+    if knowledge is None:
+        knowledge = kept(pages.topic_knowledge(out["topics"], pages.section_diagrams(out["sections"], parsed)))
     out["index"] = links.index_sections(knowledge)
     if how.with_registers:
-        out["extracted"] = EXTRACTORS[how.extractor](pages.page_nodes(parsed))
-    if how.with_registers and registers is not None:
-        out["linked"] = links.link_parameters(registers, knowledge)
+        out["extracted"] = kept(EXTRACTORS[how.extractor](pages.page_nodes(parsed)))
+        own = records.record_registers(out["extracted"])
+        if registers is None:
+            registers = kept(own)
+            out["linked"] = kept(links.link_parameters(registers, knowledge))
+            checked = registers.drop("knowledge_ref").join(out["linked"].select("manual_id", "reg_id", F.col("ref").alias("knowledge_ref")), ["manual_id", "reg_id"])
+        else:
+            out["linked"] = links.link_parameters(registers, knowledge)
+            checked = registers
         out["uncovered"] = links.uncovered_groups(registers, knowledge)
-        out["findings"] = links.findings(registers, knowledge, images, registers.groupBy("manual_id").agg(F.count("*").alias("total")))
+        counts = own.groupBy("manual_id").agg(F.count("*").alias("n"))
+        totals = registers.select("manual_id").distinct().join(counts, "manual_id", "left").select("manual_id", F.coalesce("n", F.lit(0)).alias("total"))
+        out["findings"] = links.findings(checked, knowledge, images, totals, own.select("manual_id", "group_id").distinct())
     return out
 
 

@@ -76,6 +76,30 @@ def test_pipeline(spark, read):
         pass
 
 
+def test_pipeline_on_its_own_topics_and_records(spark):
+    cells = lambda *c: "<tr>%s</tr>" % "".join(f"<td>{x}</td>" for x in c)
+    tables = [{"html": "<table>%s%s</table>" % (cells("Parameter", "Name"), cells("C00.01", "Speed"))}]
+    same = "<h2>Troubleshooting the drive</h2><p>Alarm and fault handling of C00.01 and of the drive in general.</p>"
+    pages_ = [("m", "d", i, i, i, same if i % 2 == 0 else "<p>x</p>", json.dumps(tables) if i == 1 else None) for i in range(5)]
+    parsed = spark.createDataFrame(pages_, "manual_id string, device_id string, idx int, page_id long, page int, html string, children string")
+    images = spark.createDataFrame([], "manual_id string, filename string")
+
+    def twice(sections):  # each section as two of one group and heading
+        again = sections.withColumn("sec_no", F.col("sec_no") + 1000)
+        return sections.unionByName(again).withColumns({"content_type": F.lit("narrative_knowledge"), "suggested_group": F.lit("c00"), "suggested_knowledge_topic": F.lit("c00/drive")})
+
+    out = pipeline.run(parsed, None, None, images, pipeline.Run(hooks={"sections": twice}))
+    topics = out["topics"].collect()
+    assert len(topics) > 1 and len({r.rel_path for r in topics}) == len(topics)
+    assert {r.path for r in out["index"].collect()} == {r.rel_path for r in topics}
+    assert [(r.manual_id, r.by, f"{r.ref}.md" in {t.rel_path for t in topics}) for r in out["linked"].collect()] == [("m", "id", True)]
+    assert {(r.rule, r.subject) for r in out["findings"].collect()} == {("few_parameters", "1")}
+    given = spark.createDataFrame([(i, "m", f"C0{i}.01", f"C0{i}", "bitfield", None, None, None, None, None) for i in range(2)], "reg_id long, manual_id string, param_id string, group_id string, data_type string, value_range string, value_map map<string,string>, bit_layout map<string,string>, knowledge_ref string, modbus struct<address:int>")
+    found = {(r.rule, r.subject) for r in pipeline.run(parsed, None, given, images)["findings"].collect()}
+    assert {("index_total", "1"), ("unknown_group", "C01.01:1"), ("bitfield_without_layout", "C00.01:0"), ("bitfield_without_layout", "C01.01:1")} <= found
+    assert ("unknown_group", "C00.01:0") not in found  # group codes differ in case
+
+
 def test_streams(spark, small, read, tmp_path):
     folder = tmp_path / "in"
     read("parsed").write.parquet(str(folder))
