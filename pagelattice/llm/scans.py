@@ -32,7 +32,7 @@ CONFUSIONS = {
 }
 #: Probability that a confusable place is misread; how many times that a misreading may be more frequent than expected; weight of pairs.
 MISREAD, SLACK, PAIRS = 0.002, 10.0, 0.6
-#: Buckets of the table of word pairs; words of the lexicon that one pass of repair carries (more are done in more passes); devices whose lines are broadcast.
+#: Buckets of the table of word pairs; entries of the lexicon that are broadcast (of more, each text gets its own); devices whose lines are broadcast.
 PAIR_BUCKETS, LEXICON, BROADCAST_DEVICES = 1 << 18, 400_000, 20_000
 #: Lines of so many letters and more are told by their hash alone.
 LONG = 300
@@ -223,9 +223,9 @@ class Standing:
 
 
 class Repairer:
-    """The channel and the language model of a pass; slice: only words whose key falls into it are judged."""
+    """The channel and the language model, of all words or of those that a text asks for."""
 
-    def __init__(self, words: list[tuple[str, str, int, int]], pairs: np.ndarray, total: float, counts: dict[str, int], part: int = 0, parts: int = 1):
+    def __init__(self, words: list[tuple[str, str, int, int]], pairs: np.ndarray, total: float, counts: dict[str, int]):
         self.known: dict[str, int] = {}
         self.suspects: dict[str, list[tuple[str, int, int]]] = {}
         for x, v, n, k in words:
@@ -233,10 +233,11 @@ class Repairer:
                 self.known[x] = n
             else:
                 self.suspects.setdefault(x, []).append((v, n, k))
-        self.pairs, self.total, self.counts, self.part, self.parts = pairs, max(total, 1.0), counts, part, parts
-
-    def mine(self, w: str) -> bool:
-        return self.parts == 1 or zlib.crc32(w.replace("-", "").encode("utf-8", "replace")) % self.parts == self.part
+        for x, found in self.suspects.items():
+            if len(found) > 1:  # in the order of the confusions, however the lexicon was read
+                rank = {v: i for i, v in enumerate(printed(x))}
+                found.sort(key=lambda c: (rank.get(c[0], len(rank)), c))
+        self.pairs, self.total, self.counts = pairs, max(total, 1.0), counts
 
     def options(self, w: str) -> list[tuple[str, float, float]]:
         """(word, its effective count, log probability of the reading) that w may stand for, itself first."""
@@ -285,6 +286,21 @@ class Repairer:
         return best
 
 
+class _Asking:
+    """Stands for a Repairer to learn which words of the lexicon a text asks for."""
+
+    def __init__(self):
+        self.asked: set[str] = set()
+
+    def line(self, words: list[str]) -> list[str]:
+        self.asked.update(words)
+        return words
+
+    def joined(self, left: str, right: str) -> str:
+        self.asked.update((left + right, left + "-" + right))
+        return left + right
+
+
 def repair(text: str, device: Standing, r: Repairer, markup: bool) -> tuple[set[tuple[int, str, str]], list[str]]:
     """The cases of a text (line, kind, word), and its paragraphs as they should read."""
     cases: set[tuple[int, str, str]] = set()
@@ -306,14 +322,12 @@ def repair(text: str, device: Standing, r: Repairer, markup: bool) -> tuple[set[
             continue
         letters = wording(visible_)
         if (len(letters) < 12 and is_page_number(visible_, letters)) or not letters and any(c.isdigit() for c in visible_) and len(visible_.strip()) < 16:
-            if r.part == 0:
-                cases.add((no, "header", "-"))
+            cases.add((no, "header", "-"))
             continue
         kind = device.kind(letters) if len(letters) >= 5 else None
         if kind is not None:
             if kind:
-                if r.part == 0:
-                    cases.add((no, "header", "-"))
+                cases.add((no, "header", "-"))
             continue
         if markup and _HEADING.search(line):
             end()
@@ -328,8 +342,7 @@ def repair(text: str, device: Standing, r: Repairer, markup: bool) -> tuple[set[
             right = _WORDS[tokens[0]]
             if right:
                 whole = r.joined(left, right)
-                if r.mine(left + right):
-                    cases.add((at, "hyphen", whole))
+                cases.add((at, "hyphen", whole))
                 lead, tail = token[: len(token) - len(token.lstrip(_EDGES))], tokens[0][len(tokens[0].rstrip(_EDGES)) :]
                 current.append(lead + _like(token, whole) + tail)
                 start = 1
@@ -354,8 +367,7 @@ def repair(text: str, device: Standing, r: Repairer, markup: bool) -> tuple[set[
             continue
         for token, w, v in zip(tokens, observed, read):
             if v != w:
-                if r.mine(w):
-                    cases.add((no, "char", v))
+                cases.add((no, "char", v))
                 at = token.lower().find(w)
                 token = token[:at] + _like(token[at:], v) + token[at + len(w) :]
             current.append(token)
@@ -374,24 +386,52 @@ def _like(token: str, word: str) -> str:
     return word
 
 
-def _repairing(shared, part: int, parts: int, texts: bool):
+def _devices():
+    """A function from a source and its entries to its standing lines, which remembers some."""
+    devices: dict[str, Standing] = {}
+    none = Standing(())
+
+    def of(source: str, lines: pa.Array, i: int) -> Standing:
+        device = devices.get(source)
+        if device is None:
+            if len(devices) > 2_000:
+                devices.clear()
+            entries = lines[i].as_py()
+            device = devices[source] = Standing([(x["w"], x["title"]) for x in entries]) if entries else none
+        return device
+
+    return of
+
+
+def _asking(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (src_table, row_id, x) of the words that repairing a text looks up."""
+    device = _devices()
+    for b in batches:
+        names, rows, sources, markup, contents = (b.column(k).to_pylist() for k in ("src_table", "row_id", "source", "markup", "text"))
+        lines = b.column("lines")
+        out = []
+        for i, text in enumerate(contents):
+            r = _Asking()
+            repair(text, device(sources[i], lines, i), r, markup[i])
+            out += [(names[i], rows[i], x) for x in r.asked if x]
+        if out:
+            cols = list(zip(*out))
+            yield pa.RecordBatch.from_arrays([pa.array(cols[0]), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.string())], names=["src_table", "row_id", "x"])
+
+
+def _repairing(shared, texts: bool, own_words: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, pairs, total = shared.value
-        r = Repairer(words, pairs, total, {}, part, parts)
-        devices: dict[str, Standing] = {}
-        none = Standing(())
+        r = Repairer(words, pairs, total, {})
+        device = _devices()
         for b in batches:
             names, rows, sources, markup, contents = (b.column(k).to_pylist() for k in ("src_table", "row_id", "source", "markup", "text"))
             lines = b.column("lines")
             out = []
             for i, text in enumerate(contents):
-                device = devices.get(sources[i])
-                if device is None:
-                    if len(devices) > 2_000:
-                        devices.clear()
-                    entries = lines[i].as_py()
-                    device = devices[sources[i]] = Standing([(x["w"], x["title"]) for x in entries]) if entries else none
-                cases, paragraphs = repair(text, device, r, markup[i])
+                if own_words:
+                    r = Repairer([(e["x"], e["v"], e["n"], e["k"]) for e in b.column("entries")[i].as_py() or ()], pairs, total, {})
+                cases, paragraphs = repair(text, device(sources[i], lines, i), r, markup[i])
                 if texts:
                     out.append((names[i], rows[i], 0, "", "", paragraphs))
                 else:
@@ -438,15 +478,12 @@ def repaired(parsed: DataFrame, sections: DataFrame, *, texts: bool = False) ->
     joined = rows.join(F.broadcast(standing) if within(standing, BROADCAST_DEVICES) else standing, "source", "left").select("src_table", "row_id", "source", "markup", "text", "lines")
 
     entries = kept(lexicon(words))
-    parts = max(1, -(-entries.count() // LEXICON))
-    key = F.pmod(F.crc32(F.replace("x", F.lit("-"), F.lit(""))), F.lit(parts))
     schema = "src_table string, row_id long, " + ("paragraphs array<string>" if texts else "line_no int, kind string, word string")
-    out = None
-    if texts and parts > 1:
-        raise ValueError("the lexicon is too large to write texts in one pass; use the cases")
-    for part in range(parts):
-        own = [tuple(x) for x in entries.filter(key == part).select("x", "v", "n", "k").toPandas().itertuples(index=False, name=None)]
-        shared = parsed.sparkSession.sparkContext.broadcast((own, pairs, total))
-        one = joined.mapInArrow(_repairing(shared, part, parts, texts), schema)
-        out = one if out is None else out.unionByName(one)
-    return out
+    small = within(entries, LEXICON)
+    own = [tuple(x) for x in entries.select("x", "v", "n", "k").toPandas().itertuples(index=False, name=None)] if small else []
+    shared = parsed.sparkSession.sparkContext.broadcast((own, pairs, total))
+    if not small:  # each row with the part of the lexicon that its text asks for
+        asked = joined.mapInArrow(_asking, "src_table string, row_id long, x string").join(entries.hint("merge"), "x")
+        asked = asked.groupBy(F.col("src_table").alias("of_table"), F.col("row_id").alias("of_row")).agg(F.collect_set(F.struct("x", "v", "n", "k")).alias("entries"))
+        joined = joined.join(asked.hint("merge"), (F.col("src_table") == F.col("of_table")) & F.col("row_id").eqNullSafe(F.col("of_row")), "left").drop("of_table", "of_row")
+    return joined.mapInArrow(_repairing(shared, texts, not small), schema)

@@ -44,6 +44,17 @@ def test_slices_of_the_lexicon_find_the_same(spark, monkeypatch):
     assert sorted(tuple(r) for r in S.repaired(parsed, sections).collect()) == want
 
 
+def test_a_large_lexicon_gives_the_same_cases_and_texts(spark, monkeypatch):
+    rng = random.Random(9)
+    spoilt = [" ".join(w.replace("o", "0", 1) if rng.random() < 0.1 else w.replace("t", "f", 1) if rng.random() < 0.1 else w for w in line.split()) for line in prose(rng, 120)]
+    pages = ["<p>" + "\n".join(spoilt[i : i + 6]) + "\nthresh-</p>\n\nold of" for i in range(0, 120, 6)]
+    parsed, sections = corpus(spark, pages, ["low-\npass sfable filter"], n=200)
+    run = lambda: [sorted((tuple(r) for r in S.repaired(parsed, sections, texts=t).collect()), key=repr) for t in (False, True)]
+    want = run()
+    monkeypatch.setattr(S, "LEXICON", 5)
+    assert run() == want and len(want[0]) > 100 and len(want[1]) == 221
+
+
 def test_empty_tables(spark):
     parsed, sections = corpus(spark, n=0)
     assert S.repaired(parsed, sections).count() == 0
