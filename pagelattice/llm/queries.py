@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pagelattice.llm import packing, scans, standing, subjects, tokens
-from pagelattice.sources.tables import kept, table
+from pagelattice.sources.tables import closed_list, kept, table
 
 
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
@@ -52,7 +52,7 @@ def p6_round_trip(spark: SparkSession, d: str) -> DataFrame:
 
 def _capacities(spark: SparkSession, d: str) -> list[tuple[int, int]]:
     """The closed list of container sizes."""
-    return sorted((r["capacity_id"], r["capacity_tokens"]) for r in table(spark, d, "capacities").limit(60).collect())
+    return sorted((r["capacity_id"], r["capacity_tokens"]) for r in closed_list(table(spark, d, "capacities"), 60))
 
 
 def p7_containers(spark: SparkSession, d: str) -> DataFrame:

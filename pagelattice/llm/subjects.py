@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pagelattice.llm.articles import own_paragraphs
-from pagelattice.sources.tables import kept
+from pagelattice.sources.tables import closed_list, kept
 
 #: Buckets of terms of a language; passes over the corpus; updates of the mixtures in a pass and of the paragraphs at the end.
 BLOCK, PASSES, INNER, FINAL_INNER = 1 << 15, 3, 4, 6
@@ -37,6 +37,8 @@ for _l, _words in _FREQUENT.items():
     for _w in _words.split():
         _LANGUAGE_OF.setdefault(_w, []).append(LANGUAGES.index(_l))
 TERMS = BLOCK * len(LANGUAGES)
+#: Subjects that a closed list may have.
+MOST_SUBJECTS = 1000
 #: How many times more frequent with a subject than in what all share a term must be to count for it.
 OWN = 8.0
 #: A paragraph has a subject if so many of its terms, and such a part of those of any subject, are explained by it.
@@ -250,13 +252,13 @@ def subjects_of(terms: DataFrame, profiles: np.ndarray, subjects: list[str]) ->
 def document_subjects(documents: DataFrame, labels: DataFrame, subjects: DataFrame, *, key: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
     """key, subject, n_paragraphs, n_of_subject of each document.
 
-    subjects is the closed list of subjects, of which at most 1000 are taken; labels outside it, null or
+    subjects is the closed list of subjects, ValueError above 1000; labels outside it, null or
     given twice, don't matter. Null, empty and blank texts, and those without a paragraph of their own on a
     subject, have no row. Paragraphs without a subject (no term of one) don't count. Ties go to the subject that
     sorts first. Repeated documents count and come out as often as they come in. Without labels the subjects'
     own descriptions are the only anchors.
     """
-    listed = subjects.filter(F.col("subject").isNotNull()).select("subject", F.concat_ws(" ", "title", "scope_note").alias("hint")).limit(1000).collect()
+    listed = closed_list(subjects.filter(F.col("subject").isNotNull()).select("subject", F.concat_ws(" ", "title", "scope_note").alias("hint")), MOST_SUBJECTS)
     hints = {r["subject"]: r["hint"] for r in listed}
     names = sorted(hints)
     terms = kept(term_table(documents, key, text, lang))

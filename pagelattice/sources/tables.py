@@ -71,3 +71,11 @@ def spread(df: DataFrame, rows_per_task: int, n: int, *by) -> DataFrame:
 def within(df: DataFrame, limit: int) -> bool:
     """Whether df has at most limit rows; counts no more than limit + 1."""
     return df.limit(limit + 1).agg(F.count("*")).first()[0] <= limit
+
+
+def closed_list(df: DataFrame, most: int) -> list:
+    """All rows of a list that is closed; ValueError if it has more than most."""
+    rows = df.limit(most + 1).collect()
+    if len(rows) > most:
+        raise ValueError(f"a closed list of {df.columns} has more than {most} rows")
+    return rows

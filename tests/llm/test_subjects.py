@@ -91,3 +91,16 @@ def test_updates_raise_the_likelihood():
 def test_language():
     assert S.LANGUAGES[S.language_of([["der", "die", "haus"]], "en")] == "de"
     assert S.LANGUAGES[S.language_of([["haus"]], "fr")] == "fr" and S.LANGUAGES[S.language_of([], "xx")] == ""
+
+
+def test_longer_lists_are_refused(spark, tmp_path, monkeypatch):
+    from pagelattice.llm import queries
+
+    spark.range(61).selectExpr("cast(id as int) as capacity_id", "512 as capacity_tokens").write.parquet(str(tmp_path / "capacities.parquet"))
+    with pytest.raises(ValueError):
+        queries._capacities(spark, str(tmp_path))
+    docs = spark.createDataFrame([], "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([], "doc_id long, subject string")
+    listed = spark.range(1001).selectExpr("cast(id as string) as subject", "'' as title", "'' as scope_note")
+    with pytest.raises(ValueError):
+        S.document_subjects(docs, labels, listed)
