@@ -32,6 +32,11 @@ _ASCII = str.maketrans("", "", "".join(c for c in map(chr, range(128)) if not c.
 _NUMBER_ONLY = re.compile(r"[\W_]*(?:p(?:a[gq][ec])?[gp]?\.?|seite|blatt|sheet|s\.)?[\W_]*(?:no\.?)?[\W_]*[\dlioOSBZ|]{1,5}(?:[\W_]*(?:of|von|/|\|)?[\W_]*[\dliOSBZ]{1,5})?[\W_]*", re.IGNORECASE)
 
 
+def source_of(c: Column) -> Column:
+    """A source as a key: null is a source of its own, apart from the empty one."""
+    return F.coalesce(F.concat(F.lit("="), c.cast("string")), F.lit(""))
+
+
 def visible(line: str) -> str:
     """The text of a line without markup and entities."""
     return _MARKUP.sub(" ", line) if "<" in line or "&" in line else line
@@ -82,7 +87,7 @@ def _splitter(single: bool):
 
 def lines_of(df: DataFrame, source: str, row: str, text: str, name: str, *, single: bool = False) -> DataFrame:
     """src_table, source, row_id, line_no, wording, h (of source and wording) of every line with a wording; page numbers have none."""
-    rows = df.select(F.coalesce(F.col(source).cast("string"), F.lit("")).alias("source"), F.col(row).cast("long").alias("row_id"), F.col(text).alias("text")).filter(F.col("text").isNotNull())
+    rows = df.select(source_of(F.col(source)).alias("source"), F.col(row).cast("long").alias("row_id"), F.col(text).alias("text")).filter(F.col("text").isNotNull())
     lines = rows.mapInArrow(_splitter(single), "source string, row_id long, line_no int, wording string").withColumn("src_table", F.lit(name))
     return lines.select("src_table", "source", "row_id", "line_no", "wording", F.xxhash64("src_table", "source", "wording").alias("h"))
 
@@ -128,7 +133,7 @@ def standing_lines(lines: DataFrame, n_rows: DataFrame, share: float = SHARE, le
 def manual_lines(parsed: DataFrame, sections: DataFrame) -> tuple[DataFrame, DataFrame]:
     """The lines of pages and section headings, and the rows of each device in either table."""
     lines = lines_of(parsed, "device_id", "page_id", "html", "parsed").unionByName(lines_of(sections, "device_id", "section_id", "section_heading", "sections", single=True))
-    count = lambda df, name: df.groupBy(F.coalesce("device_id", F.lit("")).alias("source")).agg(F.count("*").alias("n")).withColumn("src_table", F.lit(name))
+    count = lambda df, name: df.groupBy(source_of(F.col("device_id")).alias("source")).agg(F.count("*").alias("n")).withColumn("src_table", F.lit(name))
     return lines, count(parsed, "parsed").unionByName(count(sections, "sections"))
 
 

@@ -40,7 +40,7 @@ def test_slices_of_the_lexicon_find_the_same(spark, monkeypatch):
     parsed, sections = corpus(spark, ["<p>sfable thresh-\nold and c0ntroller f!lter\nlow-\npass rernove</p>"])
     want = sorted(tuple(r) for r in S.repaired(parsed, sections).collect())
     monkeypatch.setattr(S, "LEXICON", 5)
-    monkeypatch.setattr(S, "BROADCAST_DEVICES", 0)
+    monkeypatch.setattr(S, "BROADCAST_BYTES", 0)
     assert sorted(tuple(r) for r in S.repaired(parsed, sections).collect()) == want
 
 
@@ -85,13 +85,73 @@ def test_close(a, b, near):
     assert S.close(a, b, 2) is near
 
 
-def test_viterbi_uses_the_neighbours():
-    import numpy as np
-    import zlib
+def test_both_sides_of_a_confusion_have_one_skeleton():
+    for read, printed in S.CONFUSIONS.items():
+        for to in printed:
+            assert read.translate(S._SKELETON) == to.translate(S._SKELETON)
 
-    words = [("cast", "cast", 40, 0), ("east", "east", 5000, 0), ("cast", "east", 5000, 1), ("iron", "iron", 300, 0), ("the", "the", 9000, 0)]
-    pairs = np.zeros(S.PAIR_BUCKETS, dtype=np.float32)
-    pairs[zlib.crc32(b"the east") % S.PAIR_BUCKETS] = 900
-    r = S.Repairer(words, pairs, 20000.0, {})
+
+@pytest.mark.parametrize("x,v,used", [("c0nfro11er", "controller", 4), ("rnotor", "motor", 1), ("fhe", "the", 1), ("ﬁll", "fill", 1), ("motor", "motor", 0), ("liigli", "high", 2), ("moter", "motor", None), ("7e57", "test", 3)])
+def test_confusions_between(x, v, used):
+    got = S.confusions_between(x, v)
+    assert (None if got is None else len(got)) == used
+
+
+WORDS_ = [("cast", "cast", 40, 0, 0.0, True), ("east", "east", 5000, 0, 0.0, True), ("cast", "east", 5000, 1, -6.2, True), ("iron", "iron", 300, 0, 0.0, True), ("the", "the", 9000, 0, 0.0, True)]
+
+
+def test_viterbi_uses_the_neighbours(monkeypatch):
+    r = S.Repairer(WORDS_, {"the east": 900, "iron cast": 30}, 20000.0)
     assert r.line(["the", "cast"]) == ["the", "east"] and r.line(["iron"]) == ["iron"]
-    assert r.joined("ea", "st") == "east" and r.joined("ir", "on") == "iron"
+    assert r.line(["iron", "cast"]) == ["iron", "cast"]  # its pair is far more frequent than misreadings of 'iron east' could be
+    assert r.joined("ea", "st", "the", "") == "east" and r.joined("ir", "on", "", "") == "iron"
+    monkeypatch.setattr(S, "PAIRS", 0.0)
+    assert r.line(["iron", "cast"]) == ["iron", "east"]
+
+
+def test_viterbi_is_the_best_of_all_paths():
+    import itertools
+    import math
+
+    words = "ab ac ba bc ca".split()
+    rng = random.Random(1)
+    pairs = {f"{a} {b}": rng.randint(0, 40) for a in words for b in words}
+    r = S.Repairer([], pairs, 500.0)
+    for _ in range(30):
+        choices = [tuple((w, float(rng.randint(1, 60)), -rng.random() * 6, 0.0, True) for w in rng.sample(words, rng.randint(1, 4))) for _ in range(4)]
+
+        def score(path):
+            s = 0.0
+            for i, o in enumerate(path):
+                follow = min(pairs[f"{path[i - 1][0]} {o[0]}"] / max(path[i - 1][1], 1.0), 1.0) if i else 0.0
+                s += o[2] + math.log(S.PAIRS * follow + (1 - S.PAIRS) * o[1] / 500.0 + 1e-300)
+            return s
+
+        assert r.lattice(choices) == [o[0] for o in max(itertools.product(*choices), key=score)]
+
+
+def test_pairs_decide_planted_words(spark, monkeypatch):
+    """'tan' and 'fan' are both words; a 'tan' misread as 'fan' is told by its neighbours alone."""
+    rng = random.Random(6)
+    right = ["the cooling fan of the motor", "measure arc tan position"]
+    noisy = lambda line: " ".join(w.replace("t", "f", 1) if "t" in w and rng.random() < 0.015 else w for w in line.split())
+    pages = ["<p>" + "\n".join([right[rng.random() < 0.85] for _ in range(6)] + list(map(noisy, prose(rng, 6)))) + "</p>" for _ in range(150)]
+    pages[7] = "<p>remove\nmeasure arc fan position</p>"
+    parsed, sections = corpus(spark, pages)
+    run = lambda: {tuple(r)[2:] for r in S.repaired(parsed, sections).collect() if r.row_id == 1007}
+    assert run() == {(2, "char", "tan")}
+    monkeypatch.setattr(S, "PAIRS", 0.0)
+    assert run() == set()
+
+
+def test_hyphens_are_joined_by_neighbours():
+    words = [("form", "form", 300, 0, 0.0, True), ("re-form", "re-form", 60, 0, 0.0, True), ("reform", "reform", 80, 0, 0.0, True), ("law", "law", 50, 0, 0.0, True)]
+    assert S.Repairer(words, {}, 5000.0).joined("re", "form", "law", "") == "reform"
+    assert S.Repairer(words, {"law re-form": 20}, 5000.0).joined("re", "form", "law", "") == "re-form"
+
+
+def test_long_lines_and_null_devices(spark):
+    notice = "This long legal notice about everything is part of the manual and remains so " * 6
+    rows = [(i, None if i % 2 else "", i, i, f"<p>text of page</p>\n{notice if i > 1 else notice.replace('legal', 'lcgal')}", "k", "w") for i in range(12)]
+    got = S.repaired(spark.createDataFrame(rows, PARSED), spark.createDataFrame([], SECTION))
+    assert got.filter("line_no = 2").count() == 0
