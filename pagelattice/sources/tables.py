@@ -73,6 +73,11 @@ def within(df: DataFrame, limit: int) -> bool:
     return df.limit(limit + 1).agg(F.count("*")).first()[0] <= limit
 
 
+def within_bytes(df: DataFrame, limit: int, size) -> bool:
+    """Whether the sizes of all rows of df, a column expression, come to at most limit."""
+    return (df.agg(F.sum(size.cast("long"))).first()[0] or 0) <= limit
+
+
 def closed_list(df: DataFrame, most: int) -> list:
     """All rows of a list that is closed; ValueError if it has more than most."""
     rows = df.limit(most + 1).collect()
