@@ -256,7 +256,7 @@ class Standing:
 class Repairer:
     """The channel and the language model, of all words and pairs or of those that a text asks for."""
 
-    def __init__(self, words: list[tuple], pairs: dict[str, int], total: float):
+    def __init__(self, words: list[tuple], pairs: dict[str, int], total: float, weight: float = PAIRS):
         self.known: dict[str, int] = {}
         self.suspects: dict[str, list[tuple]] = {}
         for x, v, n, k, r, sure in words:
@@ -266,7 +266,7 @@ class Repairer:
                 self.suspects.setdefault(x, []).append((k, -r, -n, v, sure))
         for found in self.suspects.values():
             found.sort()
-        self.pairs, self.total = pairs, max(total, 1.0)
+        self.pairs, self.total, self.weight = pairs, max(total, 1.0), weight  # weight of pairs against single words
         self.seen: dict[str, tuple] = {}
 
     def pair(self, a: str, b: str) -> int:
@@ -309,11 +309,11 @@ class Repairer:
             new, from_ = [], []
             for option in place:
                 v, n, reading = option[0], option[1], option[2]
-                alone = (1 - PAIRS) * n / self.total
+                alone = (1 - self.weight) * n / self.total
                 if before is None or not v:
                     ways = [s + math.log(alone + 1e-300) for s in scores]
                 else:
-                    ways = [s + math.log(PAIRS * self._follow(a, option, place) + alone + 1e-300) if a[0] else s + math.log(alone + 1e-300) for s, a in zip(scores, before)]
+                    ways = [s + math.log(self.weight * self._follow(a, option, place) + alone + 1e-300) if a[0] else s + math.log(alone + 1e-300) for s, a in zip(scores, before)]
                 k = max(range(len(ways)), key=ways.__getitem__)
                 new.append(ways[k] + reading)
                 from_.append(k)
@@ -499,8 +499,8 @@ def _asking(pairs: bool):
 
 def _repairing(shared, texts: bool, own_words: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, pairs, total = shared.value
-        r = Repairer(words, pairs, total)
+        words, pairs, total, weight = shared.value
+        r = Repairer(words, pairs, total, weight)
         device = _devices()
         for b in batches:
             names, rows, sources, markup, contents = (b.column(k).to_pylist() for k in ("src_table", "row_id", "source", "markup", "text"))
@@ -508,7 +508,7 @@ def _repairing(shared, texts: bool, own_words: bool):
             out = []
             for i, text in enumerate(contents):
                 if own_words:
-                    r = Repairer(_entries(b.column("entries")[i].as_py()), {e["x"]: e["n"] for e in b.column("pairs")[i].as_py() or ()}, total)
+                    r = Repairer(_entries(b.column("entries")[i].as_py()), {e["x"]: e["n"] for e in b.column("pairs")[i].as_py() or ()}, total, weight)
                 cases, paragraphs = repair(text, device(sources[i], lines, i), r, markup[i])
                 if texts:
                     out.append((names[i], rows[i], 0, "", "", paragraphs))
@@ -538,7 +538,7 @@ def _rows(parsed: DataFrame, sections: DataFrame) -> DataFrame:
     return pages.unionByName(excerpts).filter(F.col("text").isNotNull() & (F.col("text") != ""))
 
 
-def repaired(parsed: DataFrame, sections: DataFrame, *, texts: bool = False) -> DataFrame:
+def repaired(parsed: DataFrame, sections: DataFrame, *, texts: bool = False, weight: float = PAIRS) -> DataFrame:
     """src_table, row_id, line_no, kind, word of the repairs of pages and excerpts; with texts, src_table, row_id and paragraphs.
 
     kind: hyphen (a word broken at the end of the line), char (a misread word), header (a running title or
@@ -565,7 +565,7 @@ def repaired(parsed: DataFrame, sections: DataFrame, *, texts: bool = False) ->
     small = within(entries, LEXICON) and within(pairs, PAIR_ENTRIES)
     own = [tuple(x) for x in entries.select(*_ENTRY).toPandas().itertuples(index=False, name=None)] if small else []
     spoken = dict(pairs.toPandas().itertuples(index=False, name=None)) if small else {}
-    shared = parsed.sparkSession.sparkContext.broadcast((own, spoken, total))
+    shared = parsed.sparkSession.sparkContext.broadcast((own, spoken, total, weight))
     if not small:  # each row with the part of the lexicon, then with the pairs that its text asks for
         word = "src_table string, row_id long, x string"
         joined = kept(_with_own(joined, joined.mapInArrow(_asking(False), word), entries, _ENTRY, "entries"))

@@ -100,13 +100,12 @@ def test_confusions_between(x, v, used):
 WORDS_ = [("cast", "cast", 40, 0, 0.0, True), ("east", "east", 5000, 0, 0.0, True), ("cast", "east", 5000, 1, -6.2, True), ("iron", "iron", 300, 0, 0.0, True), ("the", "the", 9000, 0, 0.0, True)]
 
 
-def test_viterbi_uses_the_neighbours(monkeypatch):
+def test_viterbi_uses_the_neighbours():
     r = S.Repairer(WORDS_, {"the east": 900, "iron cast": 30}, 20000.0)
     assert r.line(["the", "cast"]) == ["the", "east"] and r.line(["iron"]) == ["iron"]
     assert r.line(["iron", "cast"]) == ["iron", "cast"]  # its pair is far more frequent than misreadings of 'iron east' could be
     assert r.joined("ea", "st", "the", "") == "east" and r.joined("ir", "on", "", "") == "iron"
-    monkeypatch.setattr(S, "PAIRS", 0.0)
-    assert r.line(["iron", "cast"]) == ["iron", "east"]
+    assert S.Repairer(WORDS_, {"iron cast": 30}, 20000.0, 0.0).line(["iron", "cast"]) == ["iron", "east"]
 
 
 def test_viterbi_is_the_best_of_all_paths():
@@ -130,7 +129,7 @@ def test_viterbi_is_the_best_of_all_paths():
         assert r.lattice(choices) == [o[0] for o in max(itertools.product(*choices), key=score)]
 
 
-def test_pairs_decide_planted_words(spark, monkeypatch):
+def test_pairs_decide_planted_words(spark):
     """'tan' and 'fan' are both words; a 'tan' misread as 'fan' is told by its neighbours alone."""
     rng = random.Random(6)
     right = ["the cooling fan of the motor", "measure arc tan position"]
@@ -138,10 +137,9 @@ def test_pairs_decide_planted_words(spark, monkeypatch):
     pages = ["<p>" + "\n".join([right[rng.random() < 0.85] for _ in range(6)] + list(map(noisy, prose(rng, 6)))) + "</p>" for _ in range(150)]
     pages[7] = "<p>remove\nmeasure arc fan position</p>"
     parsed, sections = corpus(spark, pages)
-    run = lambda: {tuple(r)[2:] for r in S.repaired(parsed, sections).collect() if r.row_id == 1007}
-    assert run() == {(2, "char", "tan")}
-    monkeypatch.setattr(S, "PAIRS", 0.0)
-    assert run() == set()
+    run = lambda weight: {tuple(r)[2:] for r in S.repaired(parsed, sections, weight=weight).collect() if r.row_id == 1007}
+    noise = run(0.0)
+    assert (2, "char", "tan") not in noise and run(S.PAIRS) - noise == {(2, "char", "tan")}
 
 
 def test_hyphens_are_joined_by_neighbours():
