@@ -2,8 +2,13 @@
 
 A Bloom filter of all parent keys is broadcast: a key outside it has certainly no parent, so those references
 are orphans without a join. Only the references inside the filter are verified, by an exact join with the
-parents' lifetimes. The filter has a fixed largest size (MAX_BITS): with more parents it lets more references
-through to the exact join, and the result stays the same.
+lifetimes of the parents, of which a second filter, of the references, lets only those pass that some reference can mean.
+The filters have a fixed largest size (MAX_BITS): with more keys they let more through to the exact join, and the
+result stays the same.
+
+A key has one row of lifetimes in that join, so a key with many references is split like any skewed side of a join.
+A key with more than LIFETIMES parents is no row but a range layout: its parents and references are laid out
+by time over as many tasks as they need, and the last end so far is carried on from range to range.
 """
 
 from __future__ import annotations
@@ -19,8 +24,10 @@ from pyspark.sql.window import Window
 
 from pagelattice.sources.tables import kept
 
-#: Largest filter in bits (8 MB), bits for each key, and probes.
-MAX_BITS, BITS_PER_KEY, PROBES = 1 << 26, 12, 4
+#: Largest filter in bits (16 MB), bits for each key, and probes.
+MAX_BITS, BITS_PER_KEY, PROBES = 1 << 27, 12, 4
+#: Lifetimes of a key that are one row of the join; rows of a range where keys have more.
+LIFETIMES, ROWS_PER_RANGE = 1_000, 250_000
 
 
 def _positions(h1: np.ndarray, h2: np.ndarray, bits: int) -> Iterator[np.ndarray]:
@@ -45,12 +52,12 @@ def bloom_filter(parents: DataFrame, cols: list[str], n: int) -> np.ndarray:
         bits *= 2
 
     def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = np.zeros(bits, dtype=bool)
+        own = np.zeros(bits // 64, dtype=np.uint64)
         for b in batches:
             h1, h2 = (b.column(i).to_numpy(zero_copy_only=False) for i in range(2))
             for at in _positions(h1, h2, bits):
-                own[at] = True
-        words = np.packbits(own, bitorder="little").view(np.int64)
+                np.bitwise_or.at(own, at >> np.uint64(6), np.uint64(1) << (at & np.uint64(63)))
+        words = own.view(np.int64)
         at = np.flatnonzero(words)
         yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(words[at])], names=["at", "word"])
 
@@ -78,7 +85,7 @@ def maybe_in(filter_: np.ndarray, df: DataFrame, cols: list[str]) -> Column:
 _NEVER = "9999-12-31"
 
 
-def _reasons(refs: DataFrame, parents: DataFrame, cols: list[str]) -> DataFrame:
+def _by_ranges(refs: DataFrame, parents: DataFrame, cols: list[str]) -> DataFrame:
     """refs with `reason` against the parents of the same cols: missing, late, deleted, or null.
 
     Parents and references are laid out together by key and time in ranges of about equal size, so the rows of
@@ -91,7 +98,7 @@ def _reasons(refs: DataFrame, parents: DataFrame, cols: list[str]) -> DataFrame:
     row = F.struct(*others)
     born = once.select(*cols, F.col("begins").alias("__t"), F.lit(0).alias("__ref"), F.col("ends").alias("__end"), F.lit(None).cast(refs.select(row.alias("r")).schema["r"].dataType).alias("__row"))
     asked = refs.select(*cols, F.col("at").cast("timestamp_ntz").alias("__t"), F.lit(1).alias("__ref"), F.lit(None).cast("timestamp_ntz").alias("__end"), row.alias("__row"))
-    n = int(refs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n = max(int(refs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-refs.count() // ROWS_PER_RANGE))
     laid = kept(born.unionByName(asked).repartitionByRange(n, *cols, "__t", "__ref").withColumn("__range", F.spark_partition_id()))
     each = laid.groupBy(*cols, "__range").agg(F.max("__end").alias("__last"))
     by_key = Window.partitionBy(*cols)
@@ -106,6 +113,26 @@ def _reasons(refs: DataFrame, parents: DataFrame, cols: list[str]) -> DataFrame:
     return met.withColumn("reason", reason).select(*cols, *(F.col("__row")[c].alias(c) for c in others), "reason")
 
 
+def _by_lifetimes(refs: DataFrame, parents: DataFrame, cols: list[str]) -> DataFrame:
+    """As _by_ranges for keys of few parents: one row of lifetimes for each key is joined to the references."""
+    end = F.coalesce("ends", F.lit(_NEVER).cast("timestamp_ntz"))
+    lives = parents.groupBy(*cols).agg(F.collect_set(F.struct(F.col("begins").alias("b"), end.alias("e"))).alias("__lives"))
+    at = F.col("at").cast("timestamp_ntz")
+    begun = F.filter("__lives", lambda x: x["b"] <= at)
+    reason = F.when(F.col("__lives").isNull(), "missing").when(at.isNull() | F.exists(begun, lambda x: x["e"] > at), None).when(F.size(begun) > 0, "deleted").otherwise("late")
+    return refs.drop("reason").join(lives, cols, "left").withColumn("reason", reason).drop("__lives")
+
+
+def _reasons(refs: DataFrame, parents: DataFrame, cols: list[str]) -> DataFrame:
+    """refs with `reason`; refs and parents are read more than once."""
+    hot = kept(parents.groupBy(*cols).agg(F.count("*").alias("__n")).filter(F.col("__n") > LIFETIMES).select(*cols))
+    if hot.isEmpty():
+        return _by_lifetimes(refs, parents, cols)
+    few = _by_lifetimes(refs.join(hot, cols, "left_anti"), parents.join(hot, cols, "left_anti"), cols)
+    many = _by_ranges(refs.join(hot, cols, "left_semi"), parents.join(hot, cols, "left_semi"), cols)
+    return few.unionByName(many.select(*few.columns))
+
+
 def orphans(refs: DataFrame, parents: DataFrame, scope: list[str]) -> DataFrame:
     """The references without a living target at their time, with the reason.
 
@@ -118,13 +145,15 @@ def orphans(refs: DataFrame, parents: DataFrame, scope: list[str]) -> DataFrame:
     parents, every reference is missing. A column `reason` of refs is replaced; parents' other columns are not read.
     """
     cols = [*scope, "ref_key"]
+    n = parents.count()  # before keys are made, so that no column is read
     parents = parents.select(*cols, F.col("begins").cast("timestamp_ntz"), F.col("ends").cast("timestamp_ntz")).dropna(subset=[*cols, "begins"])
-    n = parents.count()
     hit = maybe_in(bloom_filter(parents, cols, n), refs, cols)
     probed = kept(refs.withColumn("__maybe", hit))
-    missing = probed.filter(~F.col("__maybe")).drop("__maybe").withColumn("reason", F.lit("missing"))
-    verified = _reasons(probed.filter("__maybe").drop("__maybe"), parents, cols).filter(F.col("reason").isNotNull())
-    return missing.unionByName(verified)
+    missing = probed.filter(~F.col("__maybe")).drop("__maybe", "reason").withColumn("reason", F.lit("missing"))
+    asked = probed.filter("__maybe").drop("__maybe")
+    meant = kept(parents.filter(maybe_in(bloom_filter(asked, cols, asked.count()), parents, cols)))
+    verified = _reasons(asked, meant, cols).filter(F.col("reason").isNotNull())
+    return missing.unionByName(verified.select(*missing.columns))
 
 
 def path_key(c: Column, *, file: bool = False) -> Column:

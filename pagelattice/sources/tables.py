@@ -3,25 +3,49 @@
 from __future__ import annotations
 
 import atexit
+import io
 import os
 import tempfile
 import uuid
+import zipfile
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-#: Where this package lies; Python workers look for it there too.
-_HOME = str(Path(__file__).resolve().parents[2])
+#: Where this package lies; Python workers of this machine look for it there too.
+_HOME = Path(__file__).resolve().parents[2]
+
+
+def is_local(spark: SparkSession) -> bool:
+    """Whether all tasks run on the driver's machine."""
+    return spark.sparkContext.master.startswith("local[") or spark.sparkContext.master == "local"
 
 
 def importable(spark: SparkSession) -> None:
-    """Lets the session's Python workers import this package from where the driver has it."""
-    environment = spark.sparkContext.environment
-    paths = environment.get("PYTHONPATH", "").split(os.pathsep)
-    if _HOME not in paths:
-        environment["PYTHONPATH"] = os.pathsep.join([_HOME, *filter(None, paths)])
+    """Lets the session's Python workers import this package: from where the driver has it, and on a cluster from a copy that is shipped."""
+    sc = spark.sparkContext
+    paths = sc.environment.get("PYTHONPATH", "").split(os.pathsep)
+    if str(_HOME) not in paths:
+        sc.environment["PYTHONPATH"] = os.pathsep.join([str(_HOME), *filter(None, paths)])
+    if not is_local(spark) and not hasattr(sc, "_pagelattice_shipped"):
+        held = io.BytesIO()
+        with zipfile.ZipFile(held, "w") as z:
+            for f in sorted((_HOME / "pagelattice").rglob("*.py")):
+                z.write(f, f.relative_to(_HOME))
+        path = f"{shared_dir(spark).rstrip('/')}/pagelattice-{uuid.uuid4().hex}.zip"
+        write_bytes(spark, path, held.getvalue())
+        sc.addPyFile(path)
+        sc._pagelattice_shipped = path
+
+
+def write_bytes(spark: SparkSession, path: str, data: bytes) -> None:
+    """Writes a file from the driver to any file system that the session knows."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    out = where.getFileSystem(spark._jsc.hadoopConfiguration()).create(where, True)
+    out.write(bytearray(data))
+    out.close()
 
 
 def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
@@ -32,33 +56,46 @@ def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFra
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share, as spark.checkpoint.dir names it; where that is unset (tests on one machine), a fresh local one."""
+    """The folder all executors share, as spark.checkpoint.dir names it; where that is unset, a fresh local one on one machine, else RuntimeError."""
     named = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named
+    if not is_local(spark):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
     if not hasattr(spark.sparkContext, "_pagelattice_dir"):
         spark.sparkContext._pagelattice_dir = "file://" + tempfile.mkdtemp(prefix="pagelattice-")
     return spark.sparkContext._pagelattice_dir
 
 
-def _forget(spark: SparkSession, path: str) -> None:
-    try:
-        where = spark._jvm.org.apache.hadoop.fs.Path(path)
-        where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
-    except Exception:  # noqa: BLE001  the session may be gone; the folder is the cluster's to clean then
-        pass
+#: Tables of this driver that are there still.
+_KEPT: list[str] = []
+
+
+def forget(spark: SparkSession) -> int:
+    """Deletes all tables kept so far, once their results are written: between the queries of a long session. Returns how many."""
+    n = len(_KEPT)
+    while _KEPT:
+        path = _KEPT.pop()
+        try:
+            where = spark._jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+        except Exception:  # noqa: BLE001  the session may be gone; the folder is the cluster's to clean then
+            pass
+    return n
 
 
 def kept(df: DataFrame) -> DataFrame:
     """Writes df as a table in the shared folder and returns the reader of it.
 
     Cuts the lineage: an executor lost later costs a read, not a recomputation, and what is
-    derived twice from df is computed once. The table is deleted when the driver ends.
+    derived twice from df is computed once. The table is deleted by forget, or when the driver ends.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark).rstrip('/')}/kept-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    atexit.register(_forget, spark, path)
+    if not _KEPT:
+        atexit.register(forget, spark)
+    _KEPT.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

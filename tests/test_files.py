@@ -1,5 +1,6 @@
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from pagelattice.plans import pipeline
@@ -112,3 +113,24 @@ def test_streams(spark, small, read, tmp_path):
 
     assert spark.table("flat").count() == nested.flatten_records(read("parsed").filter("loaded_at is not null"), ["page_id"]).count()
     assert spark.table("kinds").count() > 0
+
+
+def test_kept_tables_are_forgotten(spark):
+    from pagelattice.sources import tables
+
+    tables.forget(spark)
+    kept = [tables.kept(spark.range(n)) for n in (2, 3)]
+    assert [k.count() for k in kept] == [2, 3] and tables.forget(spark) == 2 and tables.forget(spark) == 0
+    with pytest.raises(Exception, match="PATH_NOT_FOUND|does not exist|FAILED_READ_FILE|FILE_NOT_EXIST"):
+        kept[0].withColumn("x", F.lit(1)).collect()
+
+
+def test_no_local_folder_on_a_cluster():
+    from types import SimpleNamespace as N
+
+    from pagelattice.sources import tables
+
+    conf = N(get=lambda *a: None)
+    far = N(sparkContext=N(master="spark://host:7077", getConf=lambda: conf), conf=conf)
+    with pytest.raises(RuntimeError, match="checkpoint"):
+        tables.shared_dir(far)

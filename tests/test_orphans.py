@@ -1,6 +1,7 @@
 from datetime import datetime as T
 
 import numpy as np
+import pytest
 
 from pagelattice.operators import orphans as O
 
@@ -29,9 +30,12 @@ def test_empty_sides_and_repeats(spark):
     assert [x.reason for x in O.orphans(r, p, ["m"]).collect()] == ["late"] * 3
 
 
-def test_against_brute_force_with_a_hot_key(spark):
+@pytest.mark.parametrize("lifetimes", [2, 1000])  # 2: keys of more parents are laid out in ranges
+def test_against_brute_force_with_a_hot_key(spark, monkeypatch, lifetimes):
     import random
 
+    monkeypatch.setattr(O, "LIFETIMES", lifetimes)
+    monkeypatch.setattr(O, "ROWS_PER_RANGE", 50)
     rng = random.Random(1)
     day = lambda: D(rng.randint(1, 28)) if rng.random() < 0.95 else None
     key = lambda: "hot" if rng.random() < 0.6 else rng.choice("abc")
