@@ -3,7 +3,8 @@
 The wording of every line (letters alone, in lower case) is hashed with its source; documents are counted per hash,
 and a line is standing where its wording is on a given share of the source's documents. Wordings that come
 near the threshold are seeds: a line that differs from one by a misread character has its wording and counts with it.
-Such lines are found by the hash of their first or last letters, so no two lines are compared that share neither.
+Such lines are found by the hash of their first or last letters, so no two lines are compared that share neither; lines
+that are spelt as a seed, which are most of the standing ones, are told by their hash alone.
 """
 
 from __future__ import annotations
@@ -16,12 +17,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pagelattice.operators.orphans import bloom_filter, maybe_in
-from pagelattice.sources.tables import kept, within
+from pagelattice.sources.tables import kept, within, within_bytes
 
 #: A wording is standing on this share of its source's rows, and at least so many.
 SHARE, LEAST = 0.1, 3
-#: Letters at either end by which a misread line is found; seeds that are broadcast at most (else a filter and a shuffle).
-END, BROADCAST_SEEDS = 6, 100_000
+#: Letters at either end by which a misread line is found; seeds, and bytes of their wordings, that are broadcast at most (else a filter and a shuffle).
+END, BROADCAST_SEEDS, BROADCAST_BYTES = 6, 100_000, 8_000_000
 # Characters that scans give for others, and the words of page numbers.
 _LOOKS = {"α": "a", "ν": "v", "ο": "o", "ﬁ": "fi", "ﬂ": "fl", "ﬀ": "ff"}
 PAGE_WORDS = frozenset("page pages pageof pagesof p pg pof pgof pp of seite seitevon s svon blatt sheet sheetof pageno no l o i lof pagel pageofl".split())
@@ -112,19 +113,23 @@ def standing_lines(lines: DataFrame, n_rows: DataFrame, share: float = SHARE, le
     counts = per_row.groupBy("src_table", "source", "h").agg(F.count("*").alias("rows")).filter("rows >= 2")
     seeds = counts.join(n_rows.filter(F.col("n") >= least), ["src_table", "source"]).filter(F.col("rows") >= F.ceil(need / 2)).select("h", need.alias("need"))
     seeds = kept(seeds)
-    small = within(seeds, BROADCAST_SEEDS)
-    hint = F.broadcast if small else (lambda x: x)
-    text = lines.join(hint(seeds), "h").groupBy("h").agg(F.any_value("wording").alias("wording"), F.any_value("src_table").alias("src_table"), F.any_value("source").alias("source"), F.any_value("need").alias("need"))
-    text = kept(text)
-    keys = text.select(F.explode(F.concat(F.array("h"), _ends(F.col("wording")))).alias("key"), F.col("h").alias("seed"), F.col("wording").alias("seed_wording"), "need")
+    hint = F.broadcast if within(seeds, BROADCAST_SEEDS) else (lambda x: x)
+    marked = lines.join(hint(seeds), "h", "left")  # need is null where the wording is no seed
+    exact = marked.filter(F.col("need").isNotNull())
+    place = ["src_table", "source", "row_id", "line_no"]
+    text = kept(exact.groupBy("h").agg(F.any_value("wording").alias("seed_wording"), F.any_value("src_table").alias("src_table"), F.any_value("source").alias("source"), F.any_value("need").alias("need")))
+    text = text.filter(F.length("seed_wording") >= 5)
+    keys = text.select(F.explode(_ends(F.col("seed_wording"))).alias("key"), F.col("h").alias("seed"), "seed_wording", "need")
     w = F.col("wording")
-    probes = lines.select("src_table", "source", "row_id", "line_no", "wording", "h", F.explode(F.concat(F.array("h"), _ends(w))).alias("key"))
+    probes = marked.filter(F.col("need").isNull()).select(*place, "wording", F.explode(_ends(w)).alias("key"))
+    small = within_bytes(text, BROADCAST_BYTES, 2 * F.octet_length("seed_wording") + 100)
     if not small:
-        probes = probes.filter(maybe_in(bloom_filter(keys, ["key"], keys.count()), probes, ["key"]))
+        probes = probes.filter(maybe_in(bloom_filter(keys, ["key"], 2 * text.count()), probes, ["key"]))
     limit = F.when(F.length("seed_wording") >= 15, 2).otherwise(1)
-    far = F.when(F.col("h") == F.col("seed"), 0).when(F.abs(F.length(w) - F.length("seed_wording")) > 2, -1).when(F.length("seed_wording") < 5, -1).otherwise(F.levenshtein(w, F.col("seed_wording"), 2))
-    matched = probes.join(hint(keys), "key").withColumn("far", far).filter((F.col("far") >= 0) & (F.col("far") <= limit))
-    best = matched.groupBy("src_table", "source", "row_id", "line_no").agg(F.min(F.struct("far", "seed", "need")).alias("best")).select("src_table", "source", "row_id", "line_no", "best.seed", "best.need")
+    far = F.when(F.abs(F.length(w) - F.length("seed_wording")) > 2, -1).otherwise(F.levenshtein(w, F.col("seed_wording"), 2))
+    near = probes.join(F.broadcast(keys) if small else keys, "key").withColumn("far", far).filter((F.col("far") >= 0) & (F.col("far") <= limit))
+    near = near.groupBy(*place).agg(F.min(F.struct("far", "seed", "need")).alias("best")).select(*place, "best.seed", "best.need")
+    best = exact.select(*place, F.col("h").alias("seed"), "need").unionByName(near)
     best = kept(best)
     rows = best.groupBy("seed", "row_id").agg(F.first("need").alias("need")).groupBy("seed").agg(F.count("*").alias("rows"), F.first("need").alias("need"))
     return best.drop("need").join(rows.filter(F.col("rows") >= F.col("need")).select("seed"), "seed", "left_semi")

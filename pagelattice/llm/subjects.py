@@ -2,7 +2,8 @@
 
 The document-term matrix V is factored into mixtures W (documents by components) and profiles H (components by terms)
 by alternating multiplicative updates for the Kullback-Leibler divergence. One component is anchored at each subject
-by the documents that readers labelled; one more, not anchored, takes up what all subjects share. The paragraphs are then decomposed over the anchored components alone, on the terms these own.
+by the documents that readers labelled; one more, not anchored, takes up what all subjects share. The paragraphs are then
+decomposed over the anchored components alone, on the terms these own, and a document's mixture is the mean of theirs.
 
 Terms are hashed into BLOCK buckets for each language, so H has a fixed size whatever the corpus holds, and every
 component has a profile of its own in each language (the language is read from the text). In a pass each task fits the
@@ -39,9 +40,11 @@ for _l, _words in _FREQUENT.items():
 TERMS = BLOCK * len(LANGUAGES)
 #: Subjects that a closed list may have.
 MOST_SUBJECTS = 1000
+#: The share of a document's mixture from which on a component is one of its subjects.
+SHARE = 0.3
 #: How many times more frequent with a subject than in what all share a term must be to count for it.
 OWN = 8.0
-#: A paragraph has a subject if so many of its terms, and such a part of those of any subject, are explained by it.
+#: A paragraph has a subject if one explains so many of its terms, and such a part of those of any subject.
 LEAST_TERMS, LEAST_PART = 1.0, 0.5
 _TINY = 1e-12
 
@@ -213,7 +216,7 @@ def owned_terms(profiles: np.ndarray, n: int) -> np.ndarray:
 
 
 def subjects_of(terms: DataFrame, profiles: np.ndarray, subjects: list[str]) -> DataFrame:
-    """key, subject, n_paragraphs, n_of_subject: subjects that take a third or more of the document's paragraphs with a subject, two at most."""
+    """key, subject, n_paragraphs, share: the components with a share of SHARE or more of the mixture of the document's paragraphs with a subject, two at most."""
     n = len(subjects)
     shared = terms.sparkSession.sparkContext.broadcast((_scaled(profiles[:, :n] * owned_terms(profiles, n)[:, None]), owned_terms(profiles, n)))
     key = terms.schema["key"].dataType.simpleString()
@@ -230,27 +233,26 @@ def subjects_of(terms: DataFrame, profiles: np.ndarray, subjects: list[str]) ->
             rows, at = pairs // TERMS, pairs % TERMS
             mixtures, _, _ = fit_mixtures(rows, at, counts.astype(float), own, len(lengths), FINAL_INNER)
             total = np.bincount(rows, weights=counts, minlength=len(lengths))
-            best = mixtures.argmax(axis=1)
-            top = mixtures[np.arange(len(lengths)), best] if len(lengths) else np.zeros(0)
+            top = mixtures.max(axis=1, initial=0.0)
             sure = (total > 0) & (top >= LEAST_TERMS) & (top >= LEAST_PART * total)
             doc = np.repeat(np.arange(b.num_rows), paragraphs)
-            votes = np.zeros((b.num_rows, n), dtype=np.int64)
-            np.add.at(votes, (doc[sure], best[sure]), 1)
-            n_paragraphs = votes.sum(axis=1)
-            order = np.argsort(-votes, axis=1, kind="stable")[:, :2]
-            picked = np.take_along_axis(votes, order, axis=1)
-            good = (picked > 0) & ((picked * 3 >= n_paragraphs[:, None]) | (np.arange(picked.shape[1]) == 0))
+            n_paragraphs = np.bincount(doc[sure], minlength=b.num_rows)
+            whole = mixtures[sure] / mixtures[sure].sum(axis=1, keepdims=True)
+            shares = np.stack([np.bincount(doc[sure], weights=whole[:, k], minlength=b.num_rows) for k in range(n)], axis=1) / np.maximum(n_paragraphs, 1)[:, None]
+            order = np.argsort(-shares, axis=1, kind="stable")[:, :2]
+            picked = np.take_along_axis(shares, order, axis=1)
+            good = (picked > 0) & ((picked >= SHARE) | (np.arange(picked.shape[1]) == 0))
             i, j = np.nonzero(good)
             yield pa.RecordBatch.from_arrays(
-                [b.column("key").take(pa.array(i)), pa.array([subjects[k] for k in order[i, j]], pa.string()), pa.array(n_paragraphs[i].astype(np.int32)), pa.array(picked[i, j].astype(np.int32))],
-                names=["key", "subject", "n_paragraphs", "n_of_subject"],
+                [b.column("key").take(pa.array(i)), pa.array([subjects[k] for k in order[i, j]], pa.string()), pa.array(n_paragraphs[i].astype(np.int32)), pa.array(picked[i, j])],
+                names=["key", "subject", "n_paragraphs", "share"],
             )
 
-    return terms.select("key", "terms", "lengths").mapInArrow(decode, f"key {key}, subject string, n_paragraphs int, n_of_subject int")
+    return terms.select("key", "terms", "lengths").mapInArrow(decode, f"key {key}, subject string, n_paragraphs int, share double")
 
 
 def document_subjects(documents: DataFrame, labels: DataFrame, subjects: DataFrame, *, key: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
-    """key, subject, n_paragraphs, n_of_subject of each document.
+    """key, subject, n_paragraphs (with a subject), share (of the mixture) of each document.
 
     subjects is the closed list of subjects, ValueError above 1000; labels outside it, null or
     given twice, don't matter. Null, empty and blank texts, and those without a paragraph of their own on a
@@ -263,7 +265,7 @@ def document_subjects(documents: DataFrame, labels: DataFrame, subjects: DataFra
     names = sorted(hints)
     terms = kept(term_table(documents, key, text, lang))
     if not names:
-        return terms.select(F.col("key").alias(key), F.lit("").alias("subject"), F.lit(0).alias("n_paragraphs"), F.lit(0).alias("n_of_subject")).filter(F.lit(False))
+        return terms.select(F.col("key").alias(key), F.lit("").alias("subject"), F.lit(0).alias("n_paragraphs"), F.lit(0.0).alias("share")).filter(F.lit(False))
     named = labels.filter(F.col("subject").isin(names)).groupBy(F.col(key).alias("key")).agg(F.collect_set("subject").alias("labels"))
     profiles = factor(terms, anchored_profiles(terms, named, names, hints))
     return subjects_of(terms, profiles, names).withColumnRenamed("key", key)
@@ -271,4 +273,4 @@ def document_subjects(documents: DataFrame, labels: DataFrame, subjects: DataFra
 
 def composition(found: DataFrame) -> DataFrame:
     """Documents and paragraphs of each subject."""
-    return found.groupBy("subject").agg(F.count("*").alias("n_documents"), F.sum("n_of_subject").alias("n_paragraphs"))
+    return found.groupBy("subject").agg(F.count("*").alias("n_documents"), F.round(F.sum(F.col("n_paragraphs") * F.col("share")), 4).alias("n_paragraphs"))

@@ -11,7 +11,7 @@ ROW = "page_id long, device_id string, html string, wording string, h long"
 def found(spark, rows, **kw):
     df = spark.createDataFrame([(i, d, t, "clash", 0) for i, (d, t) in enumerate(rows)], ROW)
     lines = S.lines_of(df, "device_id", "page_id", "html", "parsed")
-    n = df.selectExpr("'parsed' as src_table", "coalesce(device_id, '') as source").groupBy("src_table", "source").count().withColumnRenamed("count", "n")
+    n = df.selectExpr("'parsed' as src_table", "coalesce('=' || device_id, '') as source").groupBy("src_table", "source").count().withColumnRenamed("count", "n")
     return {(r.row_id, r.line_no) for r in S.standing_lines(lines, n, **kw).collect()}
 
 
@@ -37,7 +37,7 @@ def test_threshold_variants_and_repeats(spark):
 
 
 def test_sources_nulls_and_empty(spark):
-    rows = [(None, NOTE)] * 3 + [("a", NOTE)] * 2 + [("b", None), ("b", ""), ("b", "1\n\n2")] * 2 + [("c", "Page 1")] * 5
+    rows = [(None, NOTE)] * 3 + [("", NOTE)] * 2 + [("a", NOTE)] * 2 + [("b", None), ("b", ""), ("b", "1\n\n2")] * 2 + [("c", "Page 1")] * 5
     assert found(spark, rows) == {(0, 1), (1, 1), (2, 1)}
     assert found(spark, [("a", "x" * 3_000_000 + " end")] * 3) == {(0, 1), (1, 1), (2, 1)}
     empty = spark.createDataFrame([], ROW)
@@ -47,7 +47,8 @@ def test_sources_nulls_and_empty(spark):
 
 @pytest.mark.parametrize("limit", [0, 100_000])
 def test_against_brute_force(spark, read, monkeypatch, limit):
-    monkeypatch.setattr(S, "BROADCAST_SEEDS", limit)  # 0: the way with a filter and a shuffle
+    monkeypatch.setattr(S, "BROADCAST_SEEDS", limit)
+    monkeypatch.setattr(S, "BROADCAST_BYTES", limit * 80)  # 0: the way with a filter and a shuffle
     parsed, sections = read("parsed"), read("sections")
     got = {tuple(r) for r in S.manual_standing_lines(parsed, sections).collect()}
     for name, rows in (("parsed", parsed.select("device_id", "page_id", "html").collect()), ("sections", sections.select("device_id", "section_id", "section_heading").collect())):
