@@ -13,6 +13,7 @@ mixtures of its own documents to the shared H and sums up its part of the next H
 from __future__ import annotations
 
 import zlib
+from array import array
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -49,8 +50,8 @@ LEAST_TERMS, LEAST_PART = 1.0, 0.5
 _TINY = 1e-12
 
 
-def _bucket(word: str, language: int) -> int:
-    return language * BLOCK + zlib.crc32(word.encode("utf-8", "replace")) % BLOCK
+def _bucket(word: str) -> int:
+    return zlib.crc32(word.encode("utf-8", "replace")) % BLOCK
 
 
 def language_of(paragraphs: list[list[str]], stated: str) -> int:
@@ -65,45 +66,58 @@ def language_of(paragraphs: list[list[str]], stated: str) -> int:
 
 
 def _terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    known: dict[tuple[str, int], int] = {}
+    known: dict[str, int] = {}
     for batch in batches:
         stated = batch.column(1).to_pylist()
         start = 0
-        flat: list[int] = []
-        offsets, para_flat, para_offsets = [0], [], [0]
+        terms: list[bytes] = []
+        languages: list[int] = []
+        lengths, ends = array("i"), [0]
+        size = 0
 
         def packed(start: int, end: int):
-            rows = batch.slice(start, end - start)
-            lists = [pa.ListArray.from_arrays(pa.array(o, pa.int32()), pa.array(f, pa.int32())) for o, f in ((offsets, flat), (para_offsets, para_flat))]
-            return pa.RecordBatch.from_arrays([rows.column(0), *lists], names=["key", "terms", "lengths"])
+            per_paragraph = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(lengths, pa.int32()))
+            return pa.RecordBatch.from_arrays([batch.slice(start, end - start).column(0), pa.array(languages, pa.int8()), pa.array(terms, pa.binary()), per_paragraph], names=["key", "language", "terms", "lengths"])
 
         for i, text in enumerate(batch.column(2)):
             paragraphs = own_paragraphs(text.as_py())
-            language = language_of(paragraphs, stated[i])
+            own = array("H")
             for words in paragraphs:
                 for w in words:
-                    t = known.get((w, language))
+                    t = known.get(w)
                     if t is None:
                         if len(known) > 500_000:
                             known.clear()
-                        t = known[w, language] = _bucket(w, language)
-                    flat.append(t)
-                para_flat.append(len(words))
-            offsets.append(len(flat))
-            para_offsets.append(len(para_flat))
-            if len(flat) > 2_000_000:
+                        t = known[w] = _bucket(w)
+                    own.append(t)
+                lengths.append(len(words))
+            languages.append(language_of(paragraphs, stated[i]))
+            terms.append(own.tobytes())
+            ends.append(len(lengths))
+            size += len(own)
+            if size > 2_000_000:
                 yield packed(start, i + 1)
-                start, flat, offsets, para_flat, para_offsets = i + 1, [], [0], [], [0]
+                start, terms, languages, lengths, ends, size = i + 1, [], [], array("i"), [0], 0
         if start < batch.num_rows:
             yield packed(start, batch.num_rows)
 
 
 def term_table(documents: DataFrame, key: str, text: str, lang: str) -> DataFrame:
-    """key, terms (buckets in order), lengths (terms of each paragraph)."""
+    """key, language (its number), terms (buckets in order, two bytes each), lengths (terms of each paragraph)."""
     two = F.lower(F.left(F.trim(F.coalesce(F.col(lang), F.lit(""))), F.lit(2)))
     kind = dict(documents.dtypes)[key]
     rows = documents.select(F.col(key).alias("key"), two.alias("lang"), F.col(text).cast("string").alias("text"))
-    return rows.mapInArrow(_terms, f"key {kind}, terms array<int>, lengths array<int>")
+    return rows.mapInArrow(_terms, f"key {kind}, language tinyint, terms binary, lengths array<int>")
+
+
+def _terms_in(b: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    """The terms of a batch of rows, in the block of their language, and the number of each row."""
+    column = b.column("terms")
+    ends = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1] // 2 if len(column) else np.zeros(1, np.int32)
+    data = column.buffers()[2]
+    values = np.frombuffer(data, np.uint16)[ends[0] : ends[-1]].astype(np.int64) if data is not None and ends[-1] > ends[0] else np.zeros(0, np.int64)
+    lengths = np.diff(ends)
+    return values + np.repeat(b.column("language").to_numpy().astype(np.int64) * BLOCK, lengths), lengths
 
 
 def _flat(column: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
@@ -170,7 +184,7 @@ def anchored_profiles(terms: DataFrame, labels: DataFrame, subjects: list[str],
     of_subject = {s: k for k, s in enumerate(subjects)}
 
     def add(total: np.ndarray, b: pa.RecordBatch) -> None:
-        values, lengths = _flat(b.column("terms"))
+        values, lengths = _terms_in(b)
         total[:, n] += np.bincount(values, minlength=TERMS)
         ends = np.cumsum(lengths)
         for i, named in enumerate(b.column("labels").to_pylist()):
@@ -178,14 +192,14 @@ def anchored_profiles(terms: DataFrame, labels: DataFrame, subjects: list[str],
             for k in own:
                 np.add.at(total[:, k], values[ends[i] - lengths[i] : ends[i]], 1.0 / len(own))
 
-    counts = _summed(terms.join(labels, "key", "left").select("terms", "labels"), add, n + 1)
+    counts = _summed(terms.join(labels, "key", "left").select("language", "terms", "labels"), add, n + 1)
     anchored = _scaled(counts[:, :n])
     part = anchored / np.maximum(anchored.sum(axis=1, keepdims=True), _TINY)
     anchored = anchored * part**2
     for s, text in (hints or {}).items():
         for w in own_paragraphs(text):
             for t in w:
-                anchored[_bucket(t, 0), of_subject[s]] += 1e-4
+                anchored[_bucket(t), of_subject[s]] += 1e-4
     floor = 1e-7 * (counts[:, n:] > 0)
     even = np.maximum(part.max(axis=1, keepdims=True) - 1 / n, 0) * n / max(n - 1, 1)  # 0: as much with every subject, 1: with one alone
     return _scaled(np.hstack([_scaled(anchored) + floor, _scaled(counts[:, n:] * (1 - even) ** 2) + floor]))
@@ -197,12 +211,12 @@ def factor(terms: DataFrame, profiles: np.ndarray, passes: int = PASSES) -> np.n
         shared = terms.sparkSession.sparkContext.broadcast(profiles)
 
         def add(total: np.ndarray, b: pa.RecordBatch, shared=shared) -> None:
-            rows, at, counts = _counted(*_flat(b.column("terms")))
+            rows, at, counts = _counted(*_terms_in(b))
             mixtures, _, ratio = fit_mixtures(rows, at, counts, shared.value, b.num_rows, INNER)
             for k in range(total.shape[1]):
                 total[:, k] += np.bincount(at, weights=mixtures[rows, k] * ratio, minlength=TERMS)
 
-        sums = _summed(terms.select("terms"), add, profiles.shape[1])
+        sums = _summed(terms.select("language", "terms"), add, profiles.shape[1])
         profiles = _scaled(profiles * sums + 1e-12 * (sums.sum(axis=1, keepdims=True) > 0))
     return profiles
 
@@ -224,7 +238,7 @@ def subjects_of(terms: DataFrame, profiles: np.ndarray, subjects: list[str]) ->
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, keep = shared.value
         for b in batches:
-            values, _ = _flat(b.column("terms"))
+            values, _ = _terms_in(b)
             lengths, paragraphs = _flat(b.column("lengths"))
             rows = np.repeat(np.arange(len(lengths)), lengths)
             kept_ = keep[values] if len(values) else np.zeros(0, bool)
@@ -248,7 +262,7 @@ def subjects_of(terms: DataFrame, profiles: np.ndarray, subjects: list[str]) ->
                 names=["key", "subject", "n_paragraphs", "share"],
             )
 
-    return terms.select("key", "terms", "lengths").mapInArrow(decode, f"key {key}, subject string, n_paragraphs int, share double")
+    return terms.select("key", "language", "terms", "lengths").mapInArrow(decode, f"key {key}, subject string, n_paragraphs int, share double")
 
 
 def document_subjects(documents: DataFrame, labels: DataFrame, subjects: DataFrame, *, key: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
