@@ -30,7 +30,7 @@ KINDS = (
     ("revision_history", False, ("revision history", "change history"), None),
     ("appendix", False, ("appendix", "annex"), None),
     ("fault_code_table", True, ("fault code", "alarm code", "error code"), None),
-    ("parameter_table", True, ("parameter",), PARAMETER_ID.replace("CFRU", "cfru").replace("A-F", "a-f")),
+    ("parameter_table", True, ("parameter",), "(?i)" + PARAMETER_ID),
     ("wiring_diagram", False, ("wiring diagram", "terminal wiring", "connection diagram"), None),
     ("block_diagram", False, ("block diagram", "control block", "signal flow"), None),
     ("specifications", False, ("specification", "rated", "dimension"), None),

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from pagelattice.functions.text import let
 
+# Patterns of numbers, ranges, units and options that must match as the manuals' extractor matches.
 _INT, _POWER = r"^-?\d+$", r"^(-?)2\^(\d+)(-1)?$"
 
 
@@ -16,12 +17,12 @@ def _blank(v: Column) -> Column:
 
 
 def power_value(v: Column) -> Column:
-    """An integer, or [-]2^n[-1] with n up to 62, as double; null for anything else."""
+    """An integer, or [-]2^n[-1] with n up to 124, as double; null for anything else."""
 
     def of(t: Column) -> Column:
         sign = F.when(F.startswith(t, F.lit("-")), -1.0).otherwise(1.0)
         power = sign * F.pow(F.lit(2.0), F.regexp_extract(t, _POWER, 2).try_cast("double")) - F.when(F.regexp_extract(t, _POWER, 3) == "-1", 1.0).otherwise(0.0)
-        return F.when(t.rlike(_INT), t.try_cast("double")).when(t.rlike(_POWER) & (F.regexp_extract(t, _POWER, 2).try_cast("int") <= 62), power)
+        return F.when(t.rlike(_INT), t.try_cast("double")).when(t.rlike(_POWER) & (F.regexp_extract(t, _POWER, 2).try_cast("int") <= 124), power)
 
     return let(F.replace(F.trim(v), F.lit(" "), F.lit("")), of)
 
@@ -59,9 +60,26 @@ def _limit_text(t: Column) -> Column:
 
 def _power_text(t: Column) -> Column:
     """An integer or power as digits; null for what power_value doesn't read."""
-    digits = F.pow(F.lit(2.0), F.regexp_extract(t, _POWER, 2).try_cast("double")).try_cast("bigint")
-    value = F.when(F.startswith(t, F.lit("-")), -digits).otherwise(digits) - F.when(F.regexp_extract(t, _POWER, 3) == "-1", 1).otherwise(0)
-    return F.when(t.rlike(_INT), _limit_text(t)).when(power_value(t).isNotNull(), value.cast("string"))
+    return F.when(t.rlike(_INT), _limit_text(t)).when(t.rlike(_POWER), exact_integer(t).cast("string"))
+
+
+def exact_integer(v: Column) -> Column:
+    """An integer of 38 digits at most, or [-]2^n[-1] with n up to 124, as decimal(38,0), exactly; null for anything else."""
+
+    def of(t: Column) -> Column:
+        n = F.regexp_extract(t, _POWER, 2).try_cast("int")
+        half = lambda k: F.call_function("shiftleft", F.lit(1).cast("long"), k).cast("decimal(19,0)")
+        power = (half(F.floor(n / 2).cast("int")) * half((n - F.floor(n / 2)).cast("int"))).cast("decimal(38,0)")
+        signed = F.when(F.startswith(t, F.lit("-")), -power).otherwise(power) - F.when(F.regexp_extract(t, _POWER, 3) == "-1", F.lit(1)).otherwise(F.lit(0)).cast("decimal(1,0)")
+        return F.when(t.rlike(_INT), t.try_cast("decimal(38,0)")).when(t.rlike(_POWER) & (n <= 124), signed.cast("decimal(38,0)"))
+
+    return let(F.replace(F.trim(v), F.lit(" "), F.lit("")), of)
+
+
+def number_text(v: Column) -> Column:
+    """As number_value, as a brief prints it: whole numbers exactly, decimal ones with their point."""
+    plain = let(F.trim(v), lambda t: F.when(t.rlike(r"^-?\d+(\.\d+)?$"), _limit_text(t)))
+    return F.when(~_blank(v), F.coalesce(_power_text(F.replace(F.trim(v), F.lit(" "), F.lit(""))), plain))
 
 
 def range_texts(v: Column) -> Column:

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import html.entities
+import json
+from functools import lru_cache
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -37,15 +41,34 @@ def clean_joined(c: Column) -> Column:
     return squeezed(F.regexp_replace(c, TAG, ""))
 
 
-# The named entities that manuals hold.
-ENTITIES = {"&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "'", "&nbsp;": " ", "&ndash;": "–", "&mdash;": "—", "&deg;": "°", "&copy;": "©", "&micro;": "µ", "&Omega;": "Ω", "&plusmn;": "±", "&times;": "×", "&amp;": "&"}
+@lru_cache(maxsize=1)
+def _entity_table() -> str:
+    """JSON of all entities of HTML and what they stand for, the numbers of control characters included, from Python's own table."""
+    table = {f"&{name}": to for name, to in html.entities.html5.items()}
+    for n in range(128, 160):  # meant as the Windows code page
+        table[f"&#{n};"] = bytes([n]).decode("cp1252", "replace").replace("\ufffd", chr(n))
+    return json.dumps(table)
 
 
 def unescaped(c: Column) -> Column:
-    """Entities written out, &amp; last."""
-    for name, to in ENTITIES.items():
-        c = F.replace(c, F.lit(name), F.lit(to))
-    return c
+    """All entities of HTML written out, numbered ones too; unknown ones stay. What an &amp; begins is no entity."""
+    known = F.from_json(F.lit(_entity_table()), "map<string,string>")
+
+    def meaning(e: Column) -> Column:
+        digits = F.regexp_extract(e, r"^&#[xX]?([0-9a-fA-F]+);?$", 1)
+        n = F.when(e.rlike("^&#[xX]"), F.conv(digits, 16, 10)).otherwise(digits).try_cast("long")
+        windows = F.element_at(known, F.concat(F.lit("&#"), n.cast("string"), F.lit(";")))
+        char = F.when((n == 0) | (n > 0x10FFFF) | n.between(0xD800, 0xDFFF), "\ufffd").otherwise(F.coalesce(windows, F.decode(F.unhex(F.lpad(F.hex(n), F.lit(8), F.lit("0"))), "UTF-32")))
+        return F.when(F.startswith(e, F.lit("&#")), char).otherwise(F.element_at(known, e))
+
+    def written(t: Column) -> Column:
+        met = F.array_distinct(F.regexp_extract_all(t, F.lit(r"&(?:#[0-9]{1,10};?|#[xX][0-9a-fA-F]{1,8};?|[A-Za-z][A-Za-z0-9]{1,31};?)"), 0))
+        pairs = F.filter(F.transform(met, lambda e: F.struct(e.alias("e"), meaning(e).alias("to"))), lambda p: p["to"].isNotNull())
+        # longer ones first, as &lt begins &lt; too; & itself last
+        ordered = F.array_sort(pairs, lambda p, q: F.when((p["to"] == "&") != (q["to"] == "&"), F.when(p["to"] == "&", 1).otherwise(-1)).otherwise(F.length(q["e"]) - F.length(p["e"])))
+        return F.aggregate(ordered, t, lambda acc, p: F.replace(acc, p["e"], p["to"]))
+
+    return let(c, lambda t: F.when(F.contains(t, F.lit("&")), written(t)).otherwise(t))
 
 
 def clean_cell(c: Column) -> Column:

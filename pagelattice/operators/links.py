@@ -8,6 +8,7 @@ from pyspark.sql.window import Window
 
 from pagelattice.functions import registers as R
 from pagelattice.functions import text as X
+from pagelattice.sources.tables import kept
 
 
 def topic_entries(knowledge: DataFrame) -> DataFrame:
@@ -39,7 +40,7 @@ def link_parameters(registers: DataFrame, knowledge: DataFrame) -> DataFrame:
     regs = registers.select("reg_id", "manual_id", F.lower(F.coalesce("group_id", F.lit(""))).alias("group_id"), F.upper(F.trim("param_id")).alias("pid"), F.col("knowledge_ref").alias("old"))
     by_id = best.filter("tier = 'id'").select("manual_id", F.col("key").alias("pid"), F.col("ref").alias("id_ref"))
     by_group = best.filter("tier = 'group'").select("manual_id", F.col("key").alias("group_id"), F.col("ref").alias("group_ref"))
-    one = regs.join(by_id, ["manual_id", "pid"], "left").join(by_group, ["manual_id", "group_id"], "left").withColumn("ref", F.coalesce("id_ref", "group_ref"))
+    one = kept(regs.join(by_id, ["manual_id", "pid"], "left").join(by_group, ["manual_id", "group_id"], "left").withColumn("ref", F.coalesce("id_ref", "group_ref")))  # read twice
     two = one.join(dominant_refs(one), ["manual_id", "group_id"], "left")
     by = F.when(F.col("id_ref").isNotNull(), "id").when(F.col("group_ref").isNotNull(), "group").when(F.col("dominant").isNotNull(), "propagated")
     return two.select("reg_id", "manual_id", "group_id", "old", F.coalesce("ref", "dominant").alias("ref"), by.alias("by"))
@@ -51,14 +52,19 @@ def link_report(linked: DataFrame) -> DataFrame:
     return linked.groupBy("manual_id").agg(one(~F.col("old").eqNullSafe(F.col("ref"))).alias("n_changed"), one(F.coalesce(F.col("by").isin("id", "group"), F.lit(False))).alias("n_first_pass"), one(F.coalesce(F.col("by") == "propagated", F.lit(False))).alias("n_propagated"), F.round(F.count("ref") / F.count("*") * 100, 4).alias("coverage"))
 
 
-def pruned_refs(knowledge: DataFrame) -> DataFrame:
-    """know_id, see_also without references to files that the manual doesn't have, in order, and how many were left out."""
-    rows = knowledge.select("know_id", "manual_id", F.posexplode("see_also").alias("pos", "r")).withColumn("r", X.ref_key(F.col("r")))
+def prune_report(pruned: DataFrame) -> DataFrame:
+    """How many references were left out, and how many files are written again for it."""
+    return pruned.agg(F.coalesce(F.sum("n_pruned"), F.lit(0)).alias("n_pruned"), F.count_if(F.col("n_pruned") > 0).alias("n_rewritten"))
+
+
+def pruned_refs(knowledge: DataFrame, field: str = "see_also") -> DataFrame:
+    """know_id, field (see_also or prerequisites) without references to files that the manual doesn't have, in order, and how many were left out."""
+    rows = knowledge.select("know_id", "manual_id", F.posexplode(field).alias("pos", "r")).withColumn("r", X.ref_key(F.col("r")))
     files = knowledge.select("manual_id", F.regexp_replace("rel_path", r"\.md$", "").alias("r")).distinct()
-    kept = rows.join(files, ["manual_id", "r"], "left_semi").groupBy("know_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", "r"))), lambda x: x["r"]).alias("kept"))
-    out = knowledge.select("know_id", F.coalesce(F.size("see_also"), F.lit(0)).alias("n"), F.coalesce("see_also", F.array().cast("array<string>")).alias("see_also")).join(kept, "know_id", "left")
+    found = rows.join(files, ["manual_id", "r"], "left_semi").groupBy("know_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", "r"))), lambda x: x["r"]).alias("kept"))
+    out = knowledge.select("know_id", F.coalesce(F.col(field), F.array().cast("array<string>")).alias(field)).join(found, "know_id", "left")
     new = F.coalesce("kept", F.array().cast("array<string>"))
-    return out.select("know_id", new.alias("see_also"), F.greatest(F.lit(0), F.size("see_also") - F.size(new)).alias("n_pruned"))
+    return out.select("know_id", new.alias(field), F.greatest(F.lit(0), F.size(field) - F.size(new)).alias("n_pruned"))
 
 
 def index_sections(knowledge: DataFrame) -> DataFrame:
@@ -105,7 +111,9 @@ def _finding(df: DataFrame, severity: str, rule: str, subject) -> DataFrame:
 def findings(registers: DataFrame, knowledge: DataFrame, images: DataFrame, totals: DataFrame, groups: DataFrame | None = None) -> DataFrame:
     """manual_id, severity (E or W), rule, subject of every breach of the integrity rules. totals: manual_id, total of an index.
 
-    Bitfields without a layout are told only where registers has a column bit_layout.
+    The rules that a register can break alone are one array for each row, so that the table is read for all of them at
+    once. Bitfields without a layout are told only where registers has a column bit_layout, prerequisites where
+    knowledge has one. groups: manual_id, group_id; manuals without listed groups have no unknown ones.
     """
     from pagelattice.operators.records import nth_of
 
@@ -115,33 +123,94 @@ def findings(registers: DataFrame, knowledge: DataFrame, images: DataFrame, tota
     count = registers.groupBy("manual_id").agg(F.count("*").alias("n"))
     flat = lambda c: knowledge.select("manual_id", F.explode(c).alias("r"))
     subject = F.concat_ws(":", F.col("param_id"), F.col("reg_id"))
-    zero_one = F.regexp_replace("value_range", r"\s", "").isin("0-1", "0to1")
+    zero_one = F.coalesce(F.regexp_replace("value_range", r"\s", "").isin("0-1", "0to1"), F.lit(False))
+    valued = F.coalesce(F.size("value_map"), F.lit(0)) > 0
+    is_bits = F.coalesce(F.col("data_type") == "bitfield", F.lit(False))
+    own = [
+        (~has_id, "E", "id", F.col("reg_id").cast("string")),
+        (has_id & is_bits & valued, "W", "bitfield_with_values", subject),
+        (has_id & valued & zero_one & (F.coalesce("data_type", F.lit("")) != "bool"), "W", "values_over_0_1", subject),
+        (has_id & F.coalesce(F.trim("knowledge_ref") == "", F.lit(False)), "E", "blank_ref", subject),
+    ]
+    if "bit_layout" in registers.columns:
+        own.append((has_id & is_bits & (F.coalesce(F.size("bit_layout"), F.lit(0)) <= 0), "E", "bitfield_without_layout", subject))
+    broken = F.filter(F.array(*(F.when(c, F.struct(F.lit(s).alias("severity"), F.lit(r).alias("rule"), x.alias("subject"))) for c, s, r, x in own)), lambda x: x.isNotNull())
     out = [
-        _finding(registers.filter(~has_id), "E", "id", F.col("reg_id")),
+        registers.select("manual_id", F.explode(broken).alias("f")).select("manual_id", "f.severity", "f.rule", "f.subject"),
         _finding(nth_of(good.select("manual_id", "param_id", "reg_id"), ["manual_id", "param_id"], ["reg_id"]), "E", "duplicate_id", subject),
-        _finding(good.filter((F.col("data_type") == "bitfield") & (F.coalesce(F.size("value_map"), F.lit(0)) > 0)), "W", "bitfield_with_values", subject),
-        _finding(good.filter((F.coalesce(F.size("value_map"), F.lit(0)) > 0) & F.coalesce(zero_one, F.lit(False)) & (F.coalesce("data_type", F.lit("")) != "bool")), "W", "values_over_0_1", subject),
         _finding(nth_of(good.filter("modbus.address is not null").select("manual_id", F.col("modbus.address").alias("a"), "param_id", "reg_id"), ["manual_id", "a"], ["reg_id"]), "E", "duplicate_address", subject),
         _finding(count.filter("n < 10"), "W", "few_parameters", F.col("n")),
-        _finding(good.filter(F.trim("knowledge_ref") == ""), "E", "blank_ref", subject),
         _finding(good.filter(F.trim("knowledge_ref") != "").join(files.select("manual_id").distinct(), "manual_id", "left_semi").select("manual_id", F.col("knowledge_ref").alias("r")).join(files, ["manual_id", "r"], "left_anti"), "W", "missing_topic", F.col("r")),
-        _finding(flat("see_also").join(files, ["manual_id", "r"], "left_anti"), "W", "missing_see_also", F.col("r")),
         _finding(flat(F.transform("diagrams", lambda d: d["filename"])).join(images.select("manual_id", F.col("filename").alias("r")).distinct(), ["manual_id", "r"], "left_anti"), "W", "missing_diagram", F.col("r")),
         _finding(flat(F.transform("related_parameters", lambda d: d["id"])).distinct().join(registers.select("manual_id", F.col("param_id").alias("r")).distinct(), ["manual_id", "r"], "left_anti"), "W", "missing_parameter", F.col("r")),
         _finding(count.join(totals, "manual_id").filter("n <> total"), "E", "index_total", F.col("total")),
     ]
-    if "bit_layout" in registers.columns:
-        out.append(_finding(good.filter((F.col("data_type") == "bitfield") & (F.coalesce(F.size("bit_layout"), F.lit(0)) <= 0)), "E", "bitfield_without_layout", subject))
+    for field in ("see_also", "prerequisites"):
+        if field in knowledge.columns:
+            out.append(_finding(flat(field).join(files, ["manual_id", "r"], "left_anti"), "W", f"missing_{field}", F.col("r")))
     if groups is not None:
         listed = groups.select("manual_id").distinct()
         named = groups.select("manual_id", F.lower("group_id").alias("g")).distinct()  # group codes differ in case between tables
-        out.append(_finding(good.join(listed, "manual_id", "left_semi").withColumn("g", F.lower("group_id")).join(named, ["manual_id", "g"], "left_anti"), "E", "unknown_group", subject))
+        out.append(_finding(good.filter(F.col("group_id").isNotNull()).join(listed, "manual_id", "left_semi").withColumn("g", F.lower("group_id")).join(named, ["manual_id", "g"], "left_anti"), "E", "unknown_group", subject))
     result = out[0]
     for x in out[1:]:
         result = result.unionByName(x)
     return result
 
 
+def document_findings(documents: DataFrame, phase: int = 2) -> DataFrame:
+    """path, severity, rule, subject of breaches that only a register document as loaded can show. documents: path, doc (JSON text, null if it is no mapping).
+
+    Its parameters must be a list, each of them a mapping, and from phase 2 on a knowledge_ref must be a string or null.
+    """
+    tree = F.try_parse_json(F.coalesce("doc", F.lit("{}")))
+    listed = documents.select("path", F.try_variant_get(tree, "$.parameters", "array<variant>").alias("p"), F.try_variant_get(tree, "$.parameters", "variant").alias("v"))
+    is_list = F.coalesce(F.startswith(F.schema_of_variant("v"), F.lit("ARRAY")), F.lit(False))
+    told = lambda df, rule, subject: df.select("path", F.lit("E").alias("severity"), F.lit(rule).alias("rule"), subject.cast("string").alias("subject"))
+    each = listed.filter(is_list).select("path", F.posexplode("p").alias("pos", "x"))
+    mapping = F.coalesce(F.startswith(F.schema_of_variant("x"), F.lit("OBJECT")), F.lit(False))
+    out = told(listed.filter(~is_list), "parameters_no_list", F.lit("parameters")).unionByName(told(each.filter(~mapping), "parameter_no_mapping", F.col("pos")))
+    if phase >= 2:
+        ref = F.try_variant_get("x", "$.knowledge_ref", "variant")
+        out = out.unionByName(told(each.filter(mapping & ref.isNotNull() & ~F.schema_of_variant(ref).isin("STRING", "VOID")), "ref_no_string", F.col("pos")))
+    return out
+
+
+def file_findings(manuals: DataFrame, indexes: DataFrame, rules: DataFrame) -> DataFrame:
+    """manual_id, severity, rule, subject: manuals without an index, with one that is no mapping, or without a rule file.
+
+    indexes: manual_id, doc (JSON text, null if unreadable); rules: manual_id, filename.
+    """
+    has = manuals.select("manual_id").distinct()
+    device_rules = rules.filter(F.col("filename").rlike(r"^device-.*\.mdc$"))
+    out = _finding(has.join(indexes, "manual_id", "left_anti"), "W", "index_missing", F.lit("_index.yaml"))
+    out = out.unionByName(_finding(has.join(indexes.filter("doc is null"), "manual_id", "left_semi"), "W", "index_unreadable", F.lit("_index.yaml")))
+    out = out.unionByName(_finding(has.join(rules, "manual_id", "left_anti"), "W", "rules_missing", F.lit("rules")))
+    return out.unionByName(_finding(has.join(rules, "manual_id", "left_semi").join(device_rules, "manual_id", "left_anti"), "W", "device_rule_missing", F.lit("device-*.mdc")))
+
+
+def ordered_findings(found: DataFrame) -> DataFrame:
+    """Findings as a report lists them: errors first, then by rule, manual and subject."""
+    return found.orderBy("severity", "rule", "manual_id", "subject")
+
+
+def refine_targets(knowledge: DataFrame, force: bool = False) -> DataFrame:
+    """The topic files that a second reading is for: of low confidence or stubs; with force, all."""
+    return knowledge if force else knowledge.filter((F.col("extraction_confidence") == "low") | (F.col("content_completeness") == "stub"))
+
+
+def accepted_parses(attempts: DataFrame, scope: str, *, threshold: float = 3.0, retries: bool = True) -> DataFrame:
+    """The parse that stands for each scope: the first, or a forced one whose score is known and no lower, if the first called for a retry.
+
+    attempts: scope, forced (boolean), score, attempt (orders them), and what is carried. A first parse calls for a retry
+    if its score is known and below threshold.
+    """
+    rows = F.struct(*(c for c in attempts.columns if c != scope))
+    by = attempts.groupBy(scope).agg(F.min_by(rows, F.when(~F.col("forced"), F.col("attempt"))).alias("first"), F.min_by(rows, F.when(F.col("forced"), F.col("attempt"))).alias("retry"))
+    take = F.lit(retries) & (F.col("first.score") < threshold) & F.coalesce(F.col("retry.score") >= F.col("first.score"), F.lit(False))
+    return by.select(scope, F.when(F.coalesce(take, F.lit(False)), F.col("retry")).otherwise(F.coalesce("first", "retry")).alias("r")).select(scope, "r.*")
+
+
 def sampled(registers: DataFrame, k: int) -> DataFrame:
     """k rows drawn by the hash of their id: the same ones on any run."""
     return registers.orderBy(F.md5(F.col("reg_id").cast("string"))).limit(k)

@@ -16,6 +16,7 @@ from json.decoder import scanstring
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 _NODE_FIELDS = (
     "kind string, item_seq int, pre int, post int, parent_seq int, depth int, eff_page int, "
@@ -119,8 +120,8 @@ def parse_json(text: str | None):
         return False, None
 
 
-def interval_labels(value) -> tuple[list[dict], list[int]]:
-    """The objects reached from value through lists and `children`, in pre-order, and the post-order number of each."""
+def interval_labels(value, any_key: bool = False) -> tuple[list[dict], list[int]]:
+    """The objects reached from value through lists and `children` (any_key: through every key), in pre-order, and the post-order number of each."""
     nodes: list[dict] = []
     post: list[int] = []
     done = 0
@@ -136,7 +137,9 @@ def interval_labels(value) -> tuple[list[dict], list[int]]:
             work.append(len(nodes))
             nodes.append(x)
             post.append(0)
-            if type(x.get("children")) in (dict, list):
+            if any_key:
+                work.extend(y for y in reversed(x.values()) if type(y) in (dict, list))
+            elif type(x.get("children")) in (dict, list):
                 work.append(x["children"])
     return nodes, post
 
@@ -171,7 +174,7 @@ def _text(value) -> str | None:
     return value if value.isascii() else value.encode("utf-8", "replace").decode("utf-8")
 
 
-def _flattener(keys: list[str], schema: pa.Schema, payload: bool, wanted: frozenset[str]):
+def _flattener(keys: list[str], schema: pa.Schema, payload: bool, wanted: frozenset[str], any_key: bool):
     def flatten(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = [f.name for f in schema]
         extra = names[len(keys) :]
@@ -188,7 +191,7 @@ def _flattener(keys: list[str], schema: pa.Schema, payload: bool, wanted: frozen
             texts = batch.column("__json").to_pylist()
             for row, (page, text) in enumerate(zip(pages, texts)):
                 valid, value = parse_json(text)
-                nodes, post = interval_labels(value) if valid else ([], [])
+                nodes, post = interval_labels(value, any_key) if valid else ([], [])
                 parents, depths = containing(post)
                 root = -1 if page is None else page
                 rows = []
@@ -227,12 +230,14 @@ def flatten_records(
     *,
     payload: bool = True,
     wanted: frozenset[str] = frozenset({"page", "node", "image"}),
+    any_key: bool = False,
 ) -> DataFrame:
     """One row per page, node and image item of each record, with interval labels.
 
     keys are carried along unchanged. Columns added: kind ('node' or 'image'), item_seq, pre, post,
     parent_seq, depth, eff_page and, with payload, block_type, html, src, alt. The page is node 0 with
-    parent_seq -1; its interval contains all others. An image carries the interval of its node.
+    parent_seq -1; its interval contains all others. An image carries the interval of its node. With any_key, the objects
+    under every key are nodes, not those under `children` alone.
 
     Null or invalid JSON (cut off, NaN, two values) gives the page row alone; values of another type than
     usual are shown as JSON text. A page that is null counts as -1. Numbers outside int32 are no page. Rows
@@ -250,7 +255,7 @@ def flatten_records(
     from pyspark.sql.types import StructType
 
     schema = to_arrow_schema(StructType.fromDDL(ddl))
-    return narrow.mapInArrow(_flattener(list(keys), schema, payload, wanted), ddl)
+    return narrow.mapInArrow(_flattener(list(keys), schema, payload, wanted, any_key), ddl)
 
 
 def block_table(df: DataFrame, keys: list[str], **kw) -> DataFrame:
@@ -273,6 +278,18 @@ def subtree_sizes(blocks: DataFrame, keys: list[str]) -> DataFrame:
     return blocks.select(*keys, "node_seq", "parent_seq", (F.col("post") - F.col("node_seq") + F.col("depth") - 1).alias("n_descendants"))
 
 
+def counted_below(blocks: DataFrame, keys: list[str], marked) -> DataFrame:
+    """keys, node_seq, n: for each node how many of the nodes below it hold a condition, from the labels alone.
+
+    The nodes below x are the next ones in pre-order, as many as it has descendants: a difference of running counts
+    within the record, so that no pairs of nodes are made.
+    """
+    w = Window.partitionBy(*keys).orderBy("node_seq").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    run = blocks.select(*keys, "node_seq", (F.col("post") + F.col("depth") - 1).cast("int").alias("last"), F.sum(F.when(marked, 1).otherwise(0)).over(w).alias("upto"))
+    ends = run.select(*keys, F.col("node_seq").alias("last"), F.col("upto").alias("at_last"))
+    return run.join(ends, [*keys, "last"]).select(*keys, "node_seq", (F.col("last") - F.col("node_seq")).alias("n_descendants"), (F.col("at_last") - F.col("upto")).alias("n"))
+
+
 def contained_pairs(ancestors: DataFrame, nodes: DataFrame, keys: list[str]) -> DataFrame:
     """Each given ancestor with the nodes below it, by interval containment within one record."""
     a = ancestors.select(*keys, F.col("node_seq").alias("anc_seq"), F.col("post").alias("anc_post"))

@@ -49,13 +49,13 @@ def page_views(parsed: DataFrame, *carried: str) -> DataFrame:
 
 
 def page_nodes(parsed: DataFrame) -> DataFrame:
-    """Each page and every node below it at any depth: manual_id, idx, page_id, node_seq (0 for the page, then pre-order), page, html.
+    """Each page and every object below it at any depth and under any key: manual_id, idx, page_id, node_seq (0 for the page, then pre-order), page, html.
 
     page is the nearest one named on the way up; null without any. Reading order: idx, page_id, node_seq.
     """
     keys = ["manual_id", "idx", "page_id"]
     own = parsed.select(*keys, F.lit(0).alias("node_seq"), F.col("page").cast("int").alias("page"), "html")
-    below = nested.block_table(parsed, keys).select(*keys, "node_seq", F.when(F.col("eff_page") != -1, F.col("eff_page")).alias("page"), "html")
+    below = nested.block_table(parsed, keys, any_key=True).select(*keys, "node_seq", F.when(F.col("eff_page") != -1, F.col("eff_page")).alias("page"), "html")
     return own.unionByName(below)
 
 

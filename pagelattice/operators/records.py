@@ -15,7 +15,7 @@ COLUMNS = {
     "parameter": ("parameter",), "name": ("name",), "range": ("value range", "range"), "default": ("default",), "unit": ("unit",), "options": ("options", "description"),
     "dtype": ("data type", "datatype"), "mode": ("modification mode",), "effect": ("effective time",), "index": ("index",),
 }
-MERGED = "id string, name string, brief string, data_type string, access string, low double, high double, default double, unit string, scale double, value_map array<struct<k:string,v:string>>, bit_layout array<struct<k:string,v:string>>, write_condition string, takes_effect string, source_page int, register_count int, priority int"
+MERGED = "id string, name string, brief string, data_type string, access string, low double, high double, default double, low_text string, high_text string, default_text string, unit string, scale double, value_map array<struct<k:string,v:string>>, bit_layout array<struct<k:string,v:string>>, write_condition string, takes_effect string, source_page int, register_count int, priority int"
 
 
 def column_at(header: Column, names: tuple[str, ...]) -> Column:
@@ -47,12 +47,13 @@ def raw_records(tables: DataFrame, keys: list[str]) -> DataFrame:
 def typed_records(raw: DataFrame, keys: list[str], page: Column) -> DataFrame:
     """Records with typed values, of the shape of MERGED; a bit layout makes a bitfield."""
     opts = F.col("options_text")
-    rng, us, bits = R.range_value(F.col("range_text")), R.unit_and_scale(F.col("unit_text")), R.bit_layout(opts)
+    rng, printed, us, bits = R.range_value(F.col("range_text")), R.range_texts(F.col("range_text")), R.unit_and_scale(F.col("unit_text")), R.bit_layout(opts)
     kind = F.when(bits.isNotNull(), "bitfield").otherwise(R.data_type(F.col("dtype_text")))
     return raw.select(
         *keys, "table_no", "row_no", "id", F.when(F.col("name_text") != "", F.col("name_text")).otherwise(F.col("id")).alias("name"),
         F.when(~opts.isin("", "-"), opts).otherwise("No description in manual.").alias("brief"), kind.alias("data_type"), R.access_of(F.col("id")).alias("access"),
-        rng["min"].alias("low"), rng["max"].alias("high"), R.number_value(F.col("default_text")).alias("default"), us["unit"].alias("unit"), us["scale"].alias("scale"),
+        rng["min"].alias("low"), rng["max"].alias("high"), R.number_value(F.col("default_text")).alias("default"),
+        printed["min"].alias("low_text"), printed["max"].alias("high_text"), R.number_text(F.col("default_text")).alias("default_text"), us["unit"].alias("unit"), us["scale"].alias("scale"),
         F.when(bits.isNull(), R.value_map(opts)).alias("value_map"), bits.alias("bit_layout"), R.write_condition(F.col("mode_text")).alias("write_condition"), R.takes_effect(F.col("effect_text")).alias("takes_effect"),
         R.source_page(page).cast("int").alias("source_page"), R.register_count(kind).alias("register_count"), "priority",
     )
@@ -78,7 +79,7 @@ def _merge(m: Column, c: Column) -> Column:
         F.when(R.is_placeholder(brief) & ~R.is_placeholder(c["brief"]), c["brief"]).otherwise(brief).alias("brief"),
         F.when(has_bits, "bitfield").when((kind == "string") & (F.coalesce(c["data_type"], F.lit("string")) != "string"), c["data_type"]).otherwise(kind).alias("data_type"), better("access").alias("access"),
         F.coalesce(m["low"], F.when(m["high"].isNull(), c["low"])).alias("low"), F.coalesce(m["high"], F.when(m["low"].isNull(), c["high"])).alias("high"),
-        fill(m["default"], "default").alias("default"), fill(m["unit"], "unit").alias("unit"), fill(m["scale"], "scale").alias("scale"),
+        fill(m["default"], "default").alias("default"), F.coalesce(m["low_text"], F.when(m["high"].isNull(), c["low_text"])).alias("low_text"), F.coalesce(m["high_text"], F.when(m["low"].isNull(), c["high_text"])).alias("high_text"), fill(m["default_text"], "default_text").alias("default_text"), fill(m["unit"], "unit").alias("unit"), fill(m["scale"], "scale").alias("scale"),
         F.when(~has_bits & m["bit_layout"].isNull(), fill(m["value_map"], "value_map")).alias("value_map"), F.coalesce(c["bit_layout"], m["bit_layout"]).alias("bit_layout"),
         fill(m["write_condition"], "write_condition").alias("write_condition"), fill(m["takes_effect"], "takes_effect").alias("takes_effect"), page.alias("source_page"),
         F.when(has_bits, F.greatest(F.lit(1), c["register_count"])).otherwise(F.greatest(m["register_count"], c["register_count"])).alias("register_count"), F.greatest(m["priority"], c["priority"]).alias("priority"),
@@ -101,26 +102,26 @@ def merge_records(records: DataFrame, scope: list[str], order: list[str]) -> Dat
 def finished_records(merged: DataFrame) -> DataFrame:
     """Two-state registers become bool without range, and placeholder briefs are written from what is known."""
     two = (F.col("data_type") != "bitfield") & R.is_two_state(F.transform("value_map", lambda e: e["k"]), F.col("low"), F.col("high"))
-    out = merged.withColumn("two", two).withColumns({"data_type": F.when(F.col("two"), "bool").otherwise(F.col("data_type")), "register_count": F.when(F.col("two"), 1).otherwise(F.col("register_count")), "low": F.when(~F.col("two"), F.col("low")), "high": F.when(~F.col("two"), F.col("high"))})
+    out = merged.withColumn("two", two).withColumns({"data_type": F.when(F.col("two"), "bool").otherwise(F.col("data_type")), "register_count": F.when(F.col("two"), 1).otherwise(F.col("register_count")), **{k: F.when(~F.col("two"), F.col(k)) for k in ("low", "high", "low_text", "high_text")}})
     ordered = F.array_sort("value_map", lambda a, b: F.when(a["k"].cast("int") < b["k"].cast("int"), -1).when(a["k"].cast("int") > b["k"].cast("int"), 1).otherwise(0))
     states = F.when((F.col("data_type") == "bool") & (F.size("value_map") > 0), F.array_join(F.transform(ordered, lambda e: F.concat(e["k"], F.lit("="), e["v"])), "; "))
-    brief = R.brief_of(F.col("name"), F.col("low"), F.col("high"), states, F.col("default"), F.col("unit"), F.col("write_condition"), F.col("takes_effect"))
+    brief = R.brief_of(F.col("name"), F.col("low_text"), F.col("high_text"), states, F.col("default_text"), F.col("unit"), F.col("write_condition"), F.col("takes_effect"))
     return out.withColumn("brief", F.when(R.is_placeholder(F.col("brief")), brief).otherwise(F.col("brief"))).drop("two")
 
 
 def record_registers(records: DataFrame) -> DataFrame:
     """Records in the columns of the table device_registers that links and checks read, and bit_layout; reg_id counts in each manual."""
-    limit = lambda c: F.when(c == F.floor(c), c.cast("bigint").cast("string")).otherwise(c.cast("string"))
     nth = F.row_number().over(Window.partitionBy("manual_id").orderBy("id")).cast("long")
-    span = F.concat(limit(F.col("low")), F.lit("-"), limit(F.col("high")))
+    span = F.concat("low_text", F.lit("-"), "high_text")
     return records.select(nth.alias("reg_id"), "manual_id", F.col("id").alias("param_id"), F.lower(F.substring_index("id", ".", 1)).alias("group_id"), "data_type", span.alias("value_range"), "value_map", "bit_layout", F.lit(None).cast("string").alias("knowledge_ref"), R.modbus_block(F.col("id"), F.col("data_type")).alias("modbus"))
 
 
 def mentions(nodes: DataFrame, keys: list[str], text: Column) -> DataFrame:
-    """keys, id, nth of each parameter id in a text, and the text around it (120 characters before, 160 after)."""
+    """keys, id, nth of each parameter id in a text, and the text around that very place (120 characters before, 160 after)."""
     t = nodes.select(*keys, text.alias("t")).filter(F.col("t") != "")
-    ids = t.select(*keys, "t", F.posexplode(F.regexp_extract_all("t", F.lit(X.PARAMETER_ID), 0)).alias("nth", "id"))
-    at = F.regexp_instr("t", F.concat(F.lit(r"\b"), F.regexp_replace("id", r"\.", r"\\."), F.lit(r"\b")))
+    between = F.transform(F.split("t", X.PARAMETER_ID, -1), F.length)
+    ids = t.select(*keys, "t", between.alias("between"), F.posexplode(F.regexp_extract_all("t", F.lit(X.PARAMETER_ID), 0)).alias("nth", "id"))
+    at = F.aggregate(F.slice("between", F.lit(1), F.col("nth") + 1), F.lit(1), lambda a, n: a + n) + 6 * F.col("nth")  # an id has six characters
     around = F.trim(F.substring("t", F.greatest(at - 120, F.lit(1)), F.when(at > 120, 120).otherwise(at - 1) + 166))
     return ids.select(*keys, "nth", "id", around.alias("around"))
 
@@ -143,16 +144,21 @@ def text_records(found: DataFrame, scope: list[str], order: list[str]) -> DataFr
 
 def group_labels(lines: DataFrame, scope: list[str], order: str) -> DataFrame:
     """group_id and label of `| 8.n | Label (Cxx) |` lines; the last line of a group counts."""
+    # fixed value: the line of a group in a manual's table of groups
     p = r"\|\s*8\.\d+\s*\|\s*([^|]+?)\s*\((?:[0-9A-Fa-f]+h/)?([CFRU][0-9A-Fa-f]{2})\)\s*\|"
     rows = lines.filter(F.col("line").rlike(p)).select(*scope, order, F.lower(F.regexp_extract("line", p, 2)).alias("group_id"), F.regexp_extract("line", p, 1).alias("label"))
     return rows.groupBy(*scope, "group_id").agg(F.max_by("label", order).alias("label"))
 
 
-def gap_fill(existing: DataFrame, found: DataFrame, keys: list[str], fields: list[str]) -> DataFrame:
-    """Missing rows are added and null fields filled from found; what is there stays. Rows of equal keys in found must be one."""
+def gap_fill(existing: DataFrame, found: DataFrame, keys: list[str], fields: list[str], weak: dict[str, list[str]] | None = None) -> DataFrame:
+    """Missing rows are added and null or weak fields filled from found; what is there stays, also where found has nothing. Rows of equal keys in found must be one.
+
+    weak: values of a field that say as little as null, such as a placeholder brief.
+    """
+    strong = lambda x: F.when(~F.lower(F.trim(f"e.{x}")).isin(*weak[x]), F.col(f"e.{x}")) if x in (weak or {}) else F.col(f"e.{x}")
     e, f = existing.select(*keys, *fields).alias("e"), found.select(*keys, *fields).alias("f")
     on = [F.col(f"e.{k}") == F.col(f"f.{k}") for k in keys]
-    return e.join(f, on, "full").select(*(F.coalesce(f"e.{k}", f"f.{k}").alias(k) for k in keys), *(F.coalesce(f"e.{x}", f"f.{x}").alias(x) for x in fields))
+    return e.join(f, on, "full").select(*(F.coalesce(f"e.{k}", f"f.{k}").alias(k) for k in keys), *(F.coalesce(strong(x), F.col(f"f.{x}"), F.col(f"e.{x}")).alias(x) for x in fields))
 
 
 def nth_of(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:

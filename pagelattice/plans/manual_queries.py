@@ -11,7 +11,7 @@ from pyspark.sql.window import Window
 from pagelattice.functions import classify as C
 from pagelattice.functions import registers as R
 from pagelattice.functions import text as X
-from pagelattice.operators import links, pages, records
+from pagelattice.operators import documents, links, pages, records
 from pagelattice.sources.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -30,7 +30,11 @@ def query(sql: str | None = None):
     return register
 
 
-# ---- SQL pieces ----
+# ---- SQL pieces: written for themselves, so that they check the constants too ----
+
+_S_ID = r"\b[CFRU][0-9A-F]{2}\.[0-9A-F]{2}\b"
+_S_IMG = """(?i)<img[^>]*alt="([^"]*)"[^>]*>"""
+_S_CODE = r"(?i)\b[cfru][0-9a-f]{2}\b"
 
 
 def s_ws(e: str) -> str:
@@ -47,8 +51,8 @@ def s_slug(e: str, joint: str = "_") -> str:
 
 
 def s_entities(e: str) -> str:
-    for name, to in X.ENTITIES.items():
-        e = f"replace({e}, '{name}', '{to.replace(chr(39), chr(39) * 2)}')"
+    for name, to in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "''"), ("&nbsp;", "\u00a0"), ("&ndash;", "\u2013"), ("&mdash;", "\u2014"), ("&deg;", "\u00b0"), ("&copy;", "\u00a9"), ("&micro;", "\u00b5"), ("&times;", "\u00d7"), ("&amp;", "&")):
+        e = f"replace({e}, '{name}', '{to}')"
     return e
 
 
@@ -60,24 +64,36 @@ def s_any(t: str, words) -> str:
     return "(" + " OR ".join(f"contains({t}, '{w}')" for w in words) + ")"
 
 
+_S_GROUP = """CASE WHEN regexp_matches({t}, 'velocity|speed loop') THEN 'tuning/velocity' WHEN regexp_matches({t}, 'position loop|positioning|pulse|electronic gear') THEN 'tuning/position'
+WHEN regexp_matches({t}, 'torque|current loop|current limit') THEN 'tuning/current' WHEN regexp_matches({t}, 'homing|origin return|home return') THEN 'motion/homing'
+WHEN regexp_matches({t}, 'modbus|communication|baud|station no|slave id') THEN 'communication' WHEN regexp_matches({t}, 'fault|alarm|diagnostic|error code') THEN 'diagnostics'
+WHEN regexp_matches({t}, 'input terminal|digital input|x0|x1') THEN 'io/digital_inputs' WHEN regexp_matches({t}, 'output terminal|digital output|y0|y1') THEN 'io/digital_outputs'
+WHEN regexp_matches({t}, 'protection|overvoltage|overcurrent|limit') THEN 'protection' WHEN regexp_matches({t}, 'motor|encoder|pole|rated') THEN 'motor'
+WHEN regexp_matches({t}, 'installation|mounting|dimension|clearance') THEN 'installation' WHEN regexp_matches({t}, 'wiring|connector|pin|terminal|cn1|cn2|cn3') THEN 'wiring'
+WHEN regexp_matches({t}, 'trial run|commissioning|jog|test run') THEN 'commissioning' WHEN regexp_matches({t}, 'gain|tuning|pid|filter|bandwidth') THEN 'tuning' END"""
+
+
 def s_group(t: str) -> str:
-    return "CASE " + " ".join(f"WHEN {s_any(t, words)} THEN '{g}'" for g, words in C.GROUPS) + " END"
+    return _S_GROUP.format(t=t)
 
 
 def s_words(t: str) -> str:
     return f"(CASE WHEN {t} = '' THEN 0 ELSE len(string_split({t}, ' ')) END)"
 
 
+_S_KIND = r"""CASE WHEN contains({t}, 'table of contents') OR regexp_matches({t}, '\.\.\.\s*\d+\b') THEN 'table_of_contents' WHEN regexp_matches({t}, 'revision history|change history') THEN 'revision_history'
+WHEN regexp_matches({t}, 'appendix|annex') THEN 'appendix' WHEN {table} AND regexp_matches({t}, 'fault code|alarm code|error code') THEN 'fault_code_table'
+WHEN {table} AND regexp_matches({t}, 'parameter|\b[cfru][0-9a-f]{{2}}\.[0-9a-f]{{2}}\b') THEN 'parameter_table' WHEN regexp_matches({t}, 'wiring diagram|terminal wiring|connection diagram') THEN 'wiring_diagram'
+WHEN regexp_matches({t}, 'block diagram|control block|signal flow') THEN 'block_diagram' WHEN regexp_matches({t}, 'specification|rated|dimension') THEN 'specifications'
+WHEN regexp_matches({t}, 'danger|warning|caution') AND {words} < 200 THEN 'safety_warning' WHEN {words} < 15 THEN 'cover_page' ELSE 'narrative_knowledge' END"""
+
+
 def s_kind(text: str, html: str) -> str:
-    t, out = f"lower({text})", []
-    for kind, needs, words, pattern in C.KINDS:
-        rule = s_any(t, words) if pattern is None else f"({s_any(t, words)} OR regexp_matches({t}, '{pattern}'))"
-        out.append(f"WHEN {f'''contains(lower({html}), '<table') AND ''' if needs else ''}{rule} THEN '{kind}'")
-    return "CASE " + " ".join(out) + f" WHEN {s_any(t, C.SAFETY)} AND {s_words(text)} < 200 THEN 'safety_warning' WHEN {s_words(text)} < 15 THEN 'cover_page' ELSE 'narrative_knowledge' END"
+    return _S_KIND.format(t=f"lower({text})", table=f"contains(lower({html}), '<table')", words=s_words(text))
 
 
 def s_heading(html: str) -> str:
-    heads = f"list_filter(list_transform(regexp_extract_all({html}, '{X.ANY_HEADING}', 1), lambda h: {s_clean('h')}), lambda h: length(h) > 3)"
+    heads = f"list_filter(list_transform(regexp_extract_all({html}, '(?is)<h[1-6][^>]*>(.*?)</h[1-6]>', 1), lambda h: {s_clean('h')}), lambda h: length(h) > 3)"
     text = s_clean(html)
     sentence = rf"trim(string_split_regex({text}, '[.!?][\s\x{{85}}\p{{Z}}]+')[1])"
     return f"CASE WHEN len({heads}) > 0 THEN left({heads}[1], 96) WHEN length({sentence}) BETWEEN 5 AND 96 THEN {sentence} WHEN {text} <> '' THEN array_to_string(string_split({text}, ' ')[1:10], ' ') ELSE 'Untitled section' END"
@@ -172,23 +188,23 @@ def f4_paths(spark, d):
 
 
 def _s_table(t: str) -> str:
-    rows = f"list_filter(list_transform(regexp_extract_all({t}, '{X.ANY_ROW}', 1), lambda r: list_transform(regexp_extract_all(r, '{X.ANY_CELL}', 1), lambda c: {s_clean('c', '')})), lambda r: len(list_filter(r, lambda x: x <> '')) > 0)"
+    rows = f"list_filter(list_transform(regexp_extract_all({t}, '(?is)<tr[^>]*>(.*?)</tr>', 1), lambda r: list_transform(regexp_extract_all(r, '(?is)<t[dh][^>]*>(.*?)</t[dh]>', 1), lambda c: {s_clean('c', '')})), lambda r: len(list_filter(r, lambda x: x <> '')) > 0)"
     return f"(SELECT CASE WHEN len(rows) = 0 THEN '' WHEN len(rows) = 1 THEN array_to_string(rows[1], ' | ') ELSE array_to_string(list_concat(list_transform(rows[1:1], lambda r: array_to_string(list_transform(widths, lambda w, k: rpad(coalesce(r[k], ''), w, ' ')), ' | ')), [array_to_string(list_transform(widths, lambda w: repeat('-', w)), ' | ')], list_transform(rows[2:], lambda r: array_to_string(list_transform(widths, lambda w, k: rpad(coalesce(r[k], ''), w, ' ')), ' | '))), chr(10)) END FROM (SELECT rows, list_transform(range(1, list_max(list_transform(rows, lambda r: len(r))) + 1), lambda k: CAST(greatest(3, list_max(list_transform(rows, lambda r: length(coalesce(r[k], ''))))) AS INT)) AS widths FROM (SELECT {rows} AS rows)))"
 
 
-@query(f"WITH t AS (SELECT page_id, unnest(regexp_extract_all(full_html, '{X.ANY_TABLE}', 0)) AS t, generate_subscripts(regexp_extract_all(full_html, '{X.ANY_TABLE}', 0), 1) - 1 AS table_no FROM (WITH {_VIEWS} SELECT * FROM shown)) SELECT page_id, CAST(table_no AS INT) AS table_no, {_s_table('t')} AS padded FROM t")
+@query(f"WITH t AS (SELECT page_id, unnest(regexp_extract_all(full_html, '(?is)<table[^>]*>.*?</table>', 0)) AS t, generate_subscripts(regexp_extract_all(full_html, '(?is)<table[^>]*>.*?</table>', 0), 1) - 1 AS table_no FROM (WITH {_VIEWS} SELECT * FROM shown)) SELECT page_id, CAST(table_no AS INT) AS table_no, {_s_table('t')} AS padded FROM t")
 def f13_table_text(spark, d):
     v = pages.page_views(table(spark, d, "parsed")).filter(F.contains(F.lower("full_html"), F.lit("<table")))
     return v.select("page_id", F.posexplode(X.tables_in(F.col("full_html"))).alias("table_no", "t")).select("page_id", "table_no", X.table_text(F.col("t")).alias("padded"))
 
 
 def _s_text(h: str) -> str:
-    heads = f"list_transform(list_filter(list_transform(regexp_extract_all({h}, '(?is)<h[1-6][^>]*>.*?</h[1-6]>', 0), lambda x: {{'l': CAST(regexp_extract(x, '(?i)^<h([1-6])', 1) AS INT), 't': {s_clean(f'''regexp_extract(x, '{X.ANY_HEADING}', 1)''', '')}}}), lambda x: x.t <> ''), lambda x: chr(10) || repeat('#', least(x.l + 1, 4)) || ' ' || x.t || chr(10))"
+    heads = f"list_transform(list_filter(list_transform(regexp_extract_all({h}, '(?is)<h[1-6][^>]*>.*?</h[1-6]>', 0), lambda x: {{'l': CAST(regexp_extract(x, '(?i)^<h([1-6])', 1) AS INT), 't': {s_clean(f'''regexp_extract(x, '(?is)<h[1-6][^>]*>(.*?)</h[1-6]>', 1)''', '')}}}), lambda x: x.t <> ''), lambda x: chr(10) || repeat('#', least(x.l + 1, 4)) || ' ' || x.t || chr(10))"
     rest = f"regexp_replace({h}, '(?is)<h[1-6][^>]*>.*?</h[1-6]>', '', 'g')"
-    bare = f"regexp_replace(regexp_replace({rest}, '(?is)<table.*?</table>', '', 'g'), '{X.NAMED_IMAGE}', '', 'g')"
-    images = f"list_transform(list_filter(list_transform(regexp_extract_all({rest}, '{X.NAMED_IMAGE}', 1), lambda a: trim(a)), lambda a: a <> ''), lambda a: chr(10) || '[Image: ' || a || ']' || chr(10))"
-    paras = rf"list_filter(list_transform(regexp_extract_all({bare}, '{X.ANY_PARAGRAPH}', 1), lambda p: {s_clean(rf'''regexp_replace(p, '(?i)<br\s*/?>', chr(10), 'g')''', '')}), lambda p: length(p) > 3)"
-    items = f"list_transform(list_filter(list_transform(regexp_extract_all({bare}, '{X.ANY_ITEM}', 1), lambda x: {s_clean('x', '')}), lambda x: x <> ''), lambda x: '- ' || x)"
+    bare = f"regexp_replace(regexp_replace({rest}, '(?is)<table.*?</table>', '', 'g'), '{_S_IMG}', '', 'g')"
+    images = f"list_transform(list_filter(list_transform(regexp_extract_all({rest}, '{_S_IMG}', 1), lambda a: trim(a)), lambda a: a <> ''), lambda a: chr(10) || '[Image: ' || a || ']' || chr(10))"
+    paras = rf"list_filter(list_transform(regexp_extract_all({bare}, '(?is)<p[^>]*>(.*?)</p>', 1), lambda p: {s_clean(rf'''regexp_replace(p, '(?i)<br\s*/?>', chr(10), 'g')''', '')}), lambda p: length(p) > 3)"
+    items = f"list_transform(list_filter(list_transform(regexp_extract_all({bare}, '(?is)<li[^>]*>(.*?)</li>', 1), lambda x: {s_clean('x', '')}), lambda x: x <> ''), lambda x: '- ' || x)"
     parts = f"list_concat({heads}, {images}, {paras}, {items})"
     return rf"regexp_replace(CASE WHEN len({parts}) > 0 THEN array_to_string({parts}, chr(10) || chr(10)) ELSE {s_clean(bare, '')} END, '^[\s\x{{85}}\p{{Z}}]+|[\s\x{{85}}\p{{Z}}]+$', '', 'g')"
 
@@ -215,10 +231,10 @@ def j8_diagrams(spark, d):
 
 
 @query(f"""WITH {_BODIES}, kept AS (SELECT s.*, row_number() OVER (PARTITION BY manual_id ORDER BY sec_no, s.section_id) AS no, CASE WHEN length(coalesce(body, '')) >= 20 THEN body WHEN trim(coalesce(excerpt, '')) <> '' THEN trim(excerpt) ELSE 'No narrative content could be extracted for this section.' END AS text
-FROM sections s LEFT JOIN bodies b ON b.section_id = s.section_id WHERE content_type IN ({", ".join(f"'{k}'" for k in C.TOPIC_KINDS)}))
+FROM sections s LEFT JOIN bodies b ON b.section_id = s.section_id WHERE content_type IN ('narrative_knowledge', 'safety_warning', 'wiring_diagram', 'block_diagram', 'specifications', 'fault_code_table'))
 SELECT section_id, manual_id, CAST(no AS INT) AS no, {_s_path("no")} AS rel_path, CASE WHEN trim(coalesce(section_heading, '')) = '' THEN 'Untitled Knowledge Section' ELSE left(trim(section_heading), 96) END AS title,
 CASE WHEN length(text) > 500 THEN 'high' WHEN length(text) > 150 THEN 'medium' ELSE 'low' END AS extraction_confidence, CASE WHEN length(text) > 800 THEN 'complete' WHEN length(text) > 250 THEN 'partial' ELSE 'stub' END AS content_completeness,
-list_sort(list_distinct(list_transform(regexp_extract_all(text, '(?i){X.PARAMETER_ID}'), lambda x: upper(x))))[1:30] AS related_parameters FROM kept""")
+list_sort(list_distinct(list_transform(regexp_extract_all(text, '(?i){_S_ID}'), lambda x: upper(x))))[1:30] AS related_parameters FROM kept""")
 def f40_topics(spark, d):
     sections = table(spark, d, "sections")
     return pages.topic_rows(sections, pages.section_bodies(sections, table(spark, d, "parsed"))).drop("body")
@@ -238,7 +254,7 @@ def w2_tidy_bodies(spark, d):
     return table(spark, d, "knowledge").filter(body.isNotNull()).select("know_id", X.tidy_body(body).alias("tidy"))
 
 
-@query(f"SELECT know_id, list_transform(regexp_extract_all(body, '(?i){X.PARAMETER_ID}'), lambda x: upper(x)) AS ids, list_transform(regexp_extract_all(body, '{X.PARAMETER_ID}'), lambda x: upper(x)) AS exact_ids, list_transform(regexp_extract_all(rel_path || ' ' || coalesce(title, ''), '{X.GROUP_CODE}'), lambda x: lower(x)) AS groups FROM knowledge WHERE body IS NOT NULL")
+@query(f"SELECT know_id, list_transform(regexp_extract_all(body, '(?i){_S_ID}'), lambda x: upper(x)) AS ids, list_transform(regexp_extract_all(body, '{_S_ID}'), lambda x: upper(x)) AS exact_ids, list_transform(regexp_extract_all(rel_path || ' ' || coalesce(title, ''), '{_S_CODE}'), lambda x: lower(x)) AS groups FROM knowledge WHERE body IS NOT NULL")
 def f23_ids(spark, d):
     k = table(spark, d, "knowledge").filter("body is not null")
     return k.select("know_id", X.parameter_ids(F.col("body")).alias("ids"), X.parameter_ids(F.col("body"), False).alias("exact_ids"), X.group_codes(F.concat("rel_path", F.lit(" "), F.coalesce("title", F.lit("")))).alias("groups"))
@@ -257,7 +273,7 @@ _S_BLANK = "trim(coalesce({0}, '')) IN ('', '-')"
 
 def s_power(e: str) -> str:
     t = f"replace(trim({e}), ' ', '')"
-    return rf"CASE WHEN regexp_matches({t}, '^-?\d+$') THEN TRY_CAST({t} AS DOUBLE) WHEN regexp_matches({t}, '^(-?)2\^(\d+)(-1)?$') AND TRY_CAST(regexp_extract({t}, '2\^(\d+)', 1) AS INT) <= 62 THEN (CASE WHEN {t}[1] = '-' THEN -1 ELSE 1 END) * pow(2.0, CAST(regexp_extract({t}, '2\^(\d+)', 1) AS INT)) - (CASE WHEN regexp_matches({t}, '\d-1$') THEN 1 ELSE 0 END) END"
+    return rf"CASE WHEN regexp_matches({t}, '^-?\d+$') THEN TRY_CAST({t} AS DOUBLE) WHEN regexp_matches({t}, '^(-?)2\^(\d+)(-1)?$') AND TRY_CAST(regexp_extract({t}, '2\^(\d+)', 1) AS INT) <= 124 THEN (CASE WHEN {t}[1] = '-' THEN -1 ELSE 1 END) * pow(2.0, CAST(regexp_extract({t}, '2\^(\d+)', 1) AS INT)) - (CASE WHEN regexp_matches({t}, '\d-1$') THEN 1 ELSE 0 END) END"
 
 
 def s_number(e: str) -> str:
@@ -367,7 +383,7 @@ def j1_listed_groups(spark, d):
 
 
 _S_MENTIONS = f"""nodes AS (SELECT manual_id, page_id, idx, {s_cell("html")} AS t FROM parsed WHERE html IS NOT NULL AND NOT contains(lower(html), '<table')),
-found AS (SELECT manual_id, page_id, idx, unnest(regexp_extract_all(t, '{X.PARAMETER_ID}')) AS id, generate_subscripts(regexp_extract_all(t, '{X.PARAMETER_ID}'), 1) - 1 AS nth FROM nodes),
+found AS (SELECT manual_id, page_id, idx, unnest(regexp_extract_all(t, '{_S_ID}')) AS id, generate_subscripts(regexp_extract_all(t, '{_S_ID}'), 1) - 1 AS nth FROM nodes),
 firsts AS (SELECT manual_id, id, arg_min({{'idx': idx, 'page_id': page_id, 'nth': nth}}, (idx, page_id, nth)) AS v FROM found GROUP BY ALL)"""
 
 
@@ -475,6 +491,7 @@ def k9_inventory(spark, d):
 
 
 @query(r"""WITH good AS (SELECT * FROM device_registers WHERE trim(coalesce(param_id, '')) <> ''), files AS (SELECT DISTINCT manual_id, regexp_replace(rel_path, '\.md$', '') AS r FROM knowledge), cnt AS (SELECT manual_id, count(*) AS n FROM device_registers GROUP BY 1), tot AS (SELECT manual_id, count(*) AS total FROM device_registers WHERE deleted_at IS NULL GROUP BY 1),
+grp AS (SELECT manual_id, lower(group_id) AS g FROM device_registers WHERE group_id IS NOT NULL GROUP BY ALL HAVING count(*) >= 3),
 f AS (
 SELECT manual_id, 'E' AS severity, 'id' AS rule, CAST(reg_id AS VARCHAR) AS subject FROM device_registers WHERE trim(coalesce(param_id, '')) = ''
 UNION ALL SELECT manual_id, 'E', 'duplicate_id', param_id || ':' || reg_id FROM (SELECT *, row_number() OVER (PARTITION BY manual_id, param_id ORDER BY reg_id) AS nth FROM good) WHERE nth > 1
@@ -488,16 +505,14 @@ UNION ALL SELECT manual_id, 'W', 'missing_see_also', r FROM (SELECT manual_id, u
 UNION ALL SELECT manual_id, 'W', 'missing_diagram', r FROM (SELECT manual_id, unnest(list_transform(diagrams, lambda v: v.filename)) AS r FROM knowledge) x WHERE NOT EXISTS (SELECT 1 FROM images i WHERE i.manual_id = x.manual_id AND i.filename = x.r)
 UNION ALL SELECT manual_id, 'W', 'missing_parameter', r FROM (SELECT DISTINCT manual_id, r FROM (SELECT manual_id, unnest(list_transform(related_parameters, lambda v: v.id)) AS r FROM knowledge)) x WHERE NOT EXISTS (SELECT 1 FROM device_registers i WHERE i.manual_id = x.manual_id AND i.param_id = x.r)
 UNION ALL SELECT c.manual_id, 'E', 'index_total', CAST(total AS VARCHAR) FROM cnt c JOIN tot t ON t.manual_id = c.manual_id WHERE n <> total
-UNION ALL SELECT manual_id, 'E', 'unknown_group', param_id || ':' || reg_id FROM good WHERE group_id IS NULL OR group_id NOT IN (SELECT group_id FROM (SELECT group_id, count(*) AS n FROM device_registers WHERE group_id IS NOT NULL GROUP BY 1) WHERE n >= 20))
+UNION ALL SELECT manual_id, 'E', 'unknown_group', param_id || ':' || reg_id FROM good g WHERE group_id IS NOT NULL AND EXISTS (SELECT 1 FROM grp WHERE grp.manual_id = g.manual_id) AND NOT EXISTS (SELECT 1 FROM grp WHERE grp.manual_id = g.manual_id AND grp.g = lower(g.group_id)))
 SELECT * FROM f""")
 def v_findings(spark, d):
-    """Every breach of the integrity rules; the index totals leave out deleted registers, groups of fewer than 20 registers count as unknown."""
+    """Every breach of the integrity rules; the index totals leave out deleted registers, groups of fewer than three registers of a manual count as unlisted."""
     regs = table(spark, d, "device_registers")
     totals = regs.filter("deleted_at is null").groupBy("manual_id").agg(F.count("*").alias("total"))
-    common = regs.filter("group_id is not null").groupBy("group_id").agg(F.count("*").alias("n")).filter("n >= 20").select("group_id")
-    missing = regs.filter("param_id is not null and trim(param_id) <> ''").join(common, "group_id", "left_anti")
-    found = links.findings(regs, table(spark, d, "knowledge"), table(spark, d, "images"), totals)
-    return found.unionByName(missing.select("manual_id", F.lit("E").alias("severity"), F.lit("unknown_group").alias("rule"), F.concat_ws(":", "param_id", "reg_id").alias("subject")))
+    groups = regs.filter("group_id is not null").groupBy("manual_id", F.lower("group_id").alias("group_id")).agg(F.count("*").alias("n")).filter("n >= 3").select("manual_id", "group_id")
+    return links.findings(regs, table(spark, d, "knowledge"), table(spark, d, "images"), totals, groups)
 
 
 @query(SQL["v_findings"].replace("SELECT * FROM f", "SELECT severity, rule, count(*) AS n FROM f GROUP BY ALL"))
@@ -508,13 +523,12 @@ def v_report(spark, d):
 @query("SELECT reg_id, param_id, coalesce('0x' || lower(to_hex(modbus.address)), '-') AS address, coalesce(CAST(source_page AS VARCHAR), '-') AS page FROM device_registers ORDER BY md5(CAST(reg_id AS VARCHAR)) LIMIT 5")
 def o6_spot_check(spark, d):
     """Five registers for review."""
-    hex_ = F.concat(F.lit("0x"), F.lower(F.hex("modbus.address")))
-    return links.sampled(table(spark, d, "device_registers"), 5).select("reg_id", "param_id", F.coalesce(hex_, F.lit("-")).alias("address"), F.coalesce(F.col("source_page").cast("string"), F.lit("-")).alias("page"))
+    return documents.spot_rows(table(spark, d, "device_registers"))
 
 
 @query("SELECT know_id, extraction_confidence, content_completeness FROM knowledge WHERE extraction_confidence = 'low' OR content_completeness = 'stub'")
 def c13_refine_targets(spark, d):
-    return table(spark, d, "knowledge", "know_id", "extraction_confidence", "content_completeness").filter("extraction_confidence = 'low' or content_completeness = 'stub'")
+    return links.refine_targets(table(spark, d, "knowledge", "know_id", "extraction_confidence", "content_completeness"))
 
 
 @query("SELECT device_id, arg_max(manual_id, (coalesce(quality_score, -1), parsed_at, manual_id)) AS manual_id, count(*) FILTER (WHERE quality_score < 3.0 AND NOT coalesce(force_ocr_hint_used, false)) AS n_to_retry FROM manuals GROUP BY 1")
@@ -528,14 +542,14 @@ def c16_parse_attempts(spark, d):
 def s12_decoded_images(spark, d):
     """Base64 entries decoded, bad ones skipped."""
     entry = F.when(F.col("s_suppkey") % 4 == 0, "@@").otherwise(F.base64(F.encode("s_name", "utf-8")))
-    return table(spark, d, "supplier").select("s_suppkey", F.try_to_binary(entry, F.lit("base64")).alias("b")).filter("b is not null").select("s_suppkey", F.octet_length("b").alias("n_bytes"))
+    return documents.decoded_images(table(spark, d, "supplier").withColumn("entry", entry), "s_suppkey", "entry").select("s_suppkey", F.octet_length("content").alias("n_bytes"))
 
 
 @query("SELECT event_id, CAST(json_extract_string(props, '$.k') AS INT) AS k FROM events WHERE event_id % 3 <> 0 UNION ALL SELECT event_id, NULL FROM events WHERE event_id % 3 = 0")
 def s10_tolerant_json(spark, d):
     """JSON read as empty where it is cut off."""
     cut = F.when(F.col("event_id") % 3 == 0, F.left("props", F.length("props") - 1)).otherwise(F.col("props"))
-    return table(spark, d, "events").select("event_id", F.try_variant_get(F.try_parse_json(cut), "$.k", "int").alias("k"))
+    return table(spark, d, "events").select("event_id", documents.tolerant_json(cut, "$.k", "int").alias("k"))
 
 
 @query("SELECT manual_id, count(*) AS total_parameters, count(DISTINCT group_id) AS n_groups, list_sort(list_distinct(list(group_id) FILTER (WHERE group_id IS NOT NULL))) AS groups FROM device_registers GROUP BY 1")
@@ -575,7 +589,7 @@ def f28_all_briefs(spark, d):
     return regs.select("reg_id", brief.alias("brief"))
 
 
-@query(f"WITH f AS (SELECT know_id, unnest(regexp_extract_all(body, '{X.PARAMETER_ID}')) AS id, generate_subscripts(regexp_extract_all(body, '{X.PARAMETER_ID}'), 1) - 1 AS nth, body FROM knowledge WHERE body <> '') SELECT know_id, CAST(nth AS INT) AS nth, id, trim(substr(body, greatest(instr(body, id) - 120, 1), least(120, instr(body, id) - 1) + 166)) AS around FROM f")
+@query(f"WITH f AS (SELECT know_id, unnest(regexp_extract_all(body, '{_S_ID}')) AS id, generate_subscripts(regexp_extract_all(body, '{_S_ID}'), 1) - 1 AS nth, body FROM knowledge WHERE body <> '') SELECT know_id, CAST(nth AS INT) AS nth, id, trim(substr(body, greatest(pos_ - 120, 1), least(120, pos_ - 1) + 166)) AS around FROM (SELECT *, 1 + 6 * nth + CAST(list_sum(list_transform(string_split_regex(body, '{_S_ID}')[1:nth + 1], lambda x: length(x))) AS BIGINT) AS pos_ FROM f)")
 def w8_snippets(spark, d):
     """The text around each parameter id."""
     return records.mentions(table(spark, d, "knowledge"), ["know_id"], F.col("body"))
@@ -584,17 +598,14 @@ def w8_snippets(spark, d):
 @query(f"WITH {_S_MENTIONS} SELECT reg_id, coalesce(CASE WHEN f.id IS NOT NULL THEN greatest(1, f.v.idx - 1) END, source_page) AS source_page FROM device_registers r LEFT JOIN firsts f ON f.manual_id = r.manual_id AND f.id = upper(trim(r.param_id))")
 def j3_mention_pages(spark, d):
     """The page where a parameter is first named, else its own."""
-    regs = table(spark, d, "device_registers").select("reg_id", "manual_id", F.upper(F.trim("param_id")).alias("id"), "source_page")
     found = _mentions(spark, d).select("manual_id", "id", R.source_page(F.col("idx")).cast("int").alias("named"))
-    return regs.join(found, ["manual_id", "id"], "left").select("reg_id", F.coalesce("named", "source_page").alias("source_page"))
+    return documents.named_pages(table(spark, d, "device_registers"), found)
 
 
 @query(f"WITH {_S_ROWS}, {_S_MENTIONS} SELECT DISTINCT manual_id, id, 'table' AS origin FROM rows UNION ALL SELECT manual_id, id, 'text' FROM firsts f WHERE NOT EXISTS (SELECT 1 FROM rows r WHERE r.manual_id = f.manual_id AND r.id = f.id)")
 def u1_all_records(spark, d):
     """Parameters of tables, and those that only the text names."""
-    typed = _typed(spark, d).select("manual_id", "id").distinct()
-    text = _mentions(spark, d).select("manual_id", "id").join(typed, ["manual_id", "id"], "left_anti")
-    return typed.withColumn("origin", F.lit("table")).unionByName(text.withColumn("origin", F.lit("text")))
+    return documents.all_parameter_ids(_typed(spark, d), _mentions(spark, d))
 
 
 @query()

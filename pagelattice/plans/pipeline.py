@@ -41,10 +41,13 @@ def from_tables(nodes: DataFrame) -> DataFrame:
 
 @dataclass
 class Run:
-    """What a run is to do. hooks: functions applied to sections or topics, such as a language model's second reading."""
+    """What a run is to do. hooks: functions applied to sections, topics or records, such as a language model's second reading or filling of gaps.
+
+    with_registers None: registers are extracted where the run is given none, and those given are taken where it is.
+    """
 
     extractor: str = "tables"
-    with_registers: bool = True
+    with_registers: bool | None = True
     hooks: dict[str, Callable[[DataFrame], DataFrame]] = field(default_factory=dict)
 
 
@@ -55,7 +58,8 @@ def run(parsed: DataFrame, knowledge: DataFrame | None, registers: DataFrame | N
     earlier run take their place where given. Index totals and groups are always those of the run's own records.
     """
     how = how or Run()
-    if how.with_registers and how.extractor not in EXTRACTORS:
+    extracts = how.with_registers or (how.with_registers is None and registers is None)
+    if extracts and how.extractor not in EXTRACTORS:
         raise ValueError(f"no extractor {how.extractor}; there are {sorted(EXTRACTORS)}")
     sections = pages.merged_sections(pages.classified_pages(pages.page_views(parsed)))
     if "sections" in how.hooks:
@@ -66,8 +70,14 @@ def run(parsed: DataFrame, knowledge: DataFrame | None, registers: DataFrame | N
     if knowledge is None:
         knowledge = kept(pages.topic_knowledge(out["topics"], pages.section_diagrams(out["sections"], parsed)))
     out["index"] = links.index_sections(knowledge)
-    if how.with_registers:
-        out["extracted"] = kept(EXTRACTORS[how.extractor](pages.page_nodes(parsed)))
+    if how.with_registers is None and registers is not None:
+        out["linked"] = links.link_parameters(registers, knowledge)
+        out["uncovered"] = links.uncovered_groups(registers, knowledge)
+        counts = registers.groupBy("manual_id").agg(F.count("*").alias("total"))
+        out["findings"] = links.findings(registers, knowledge, images, counts)
+    elif extracts:
+        extracted = EXTRACTORS[how.extractor](pages.page_nodes(parsed))
+        out["extracted"] = kept(how.hooks["records"](extracted) if "records" in how.hooks else extracted)
         own = records.record_registers(out["extracted"])
         if registers is None:
             registers = kept(own)

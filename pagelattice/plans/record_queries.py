@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pagelattice.operators import nested, orphans, units
-from pagelattice.sources.tables import table
+from pagelattice.sources.tables import kept, table
 
 
 def p1_found(spark: SparkSession, d: str) -> DataFrame:
@@ -16,11 +16,13 @@ def p1_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p1_blocks(spark: SparkSession, d: str) -> DataFrame:
-    return nested.block_table(table(spark, d, "parsed"), ["page_id", "manual_id"])
+    """The blocks with their place; those whose block_type or html is no string are shown as JSON text by the operator and as null here."""
+    text = lambda c: F.when(~F.col(c).rlike(r'^(?:[\[{].*[\]}]|-?\d+(?:\.\d+)?|true|false)$'), F.col(c)).alias(c)
+    return nested.block_table(table(spark, d, "parsed"), ["page_id", "manual_id"]).select("page_id", "manual_id", "node_seq", "parent_seq", "eff_page", text("block_type"), text("html"))
 
 
 def p1_images(spark: SparkSession, d: str) -> DataFrame:
-    return nested.image_table(table(spark, d, "parsed"), ["page_id", "manual_id"])
+    return nested.image_table(table(spark, d, "parsed"), ["page_id", "manual_id"]).drop("node_post")
 
 
 def p1_subtrees(spark: SparkSession, d: str) -> DataFrame:
@@ -29,10 +31,9 @@ def p1_subtrees(spark: SparkSession, d: str) -> DataFrame:
 
 def p1_tables_below(spark: SparkSession, d: str) -> DataFrame:
     """For each block with blocks below, how many tables it contains, by interval containment."""
-    blocks = nested.block_table(table(spark, d, "parsed"), ["page_id"])
-    tables_ = blocks.filter(F.col("block_type") == "Table").select("page_id", "node_seq", "post")
-    parents = blocks.filter((F.col("post") - F.col("node_seq") + F.col("depth") - 1) > 0)
-    return nested.contained_pairs(parents, tables_, ["page_id"]).groupBy("page_id", "anc_seq").agg(F.count("*").alias("n_tables"))
+    blocks = kept(nested.block_table(table(spark, d, "parsed"), ["page_id"]).drop("html"))  # read twice
+    counted = nested.counted_below(blocks, ["page_id"], F.coalesce(F.col("block_type") == "Table", F.lit(False)))
+    return counted.filter("n > 0").select("page_id", F.col("node_seq").alias("anc_seq"), F.col("n").alias("n_tables"))
 
 
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
@@ -102,11 +103,27 @@ WITH RECURSIVE walk AS (
 )
 """
 
+_BELOW = """, below AS (
+  SELECT page_id, seq, parent_seq AS anc FROM numbered WHERE parent_seq > 0
+  UNION ALL SELECT b.page_id, b.seq, n.parent_seq FROM below b JOIN numbered n ON n.page_id = b.page_id AND n.seq = b.anc WHERE n.parent_seq > 0
+)
+"""
+
 SQL: dict[str, str] = {
     "p1_found": _WALK + """
 SELECT page_id, 'node' AS kind, 0 AS item_seq, -1 AS parent_seq, coalesce(page, -1) AS eff_page FROM parsed
 UNION ALL SELECT page_id, 'node', CAST(seq AS INT), CAST(parent_seq AS INT), eff FROM numbered
 UNION ALL SELECT page_id, 'image', CAST(no AS INT), CAST(seq AS INT), eff FROM pictures""",
+    "p1_blocks": _WALK + """, deep AS (
+  SELECT *, json_extract_string(v, '$.block_type') AS kind FROM numbered)
+SELECT d.page_id, p.manual_id, CAST(d.seq AS INT) AS node_seq, CAST(d.parent_seq AS INT) AS parent_seq, d.eff AS eff_page,
+  CASE WHEN json_type(d.v, '$.block_type') = 'VARCHAR' THEN kind END AS block_type, CASE WHEN json_type(d.v, '$.html') = 'VARCHAR' THEN json_extract_string(d.v, '$.html') END AS html
+FROM deep d JOIN parsed p ON p.page_id = d.page_id""",
+    "p1_images": _WALK + """
+SELECT i.page_id, p.manual_id, CAST(seq AS INT) AS node_seq, CAST(no AS INT) AS image_no, eff AS eff_page, CASE WHEN json_type(x, '$.src') = 'VARCHAR' THEN json_extract_string(x, '$.src') END AS src, CASE WHEN json_type(x, '$.alt') = 'VARCHAR' THEN json_extract_string(x, '$.alt') END AS alt
+FROM pictures i JOIN parsed p ON p.page_id = i.page_id""",
+    "p1_subtrees": _WALK + _BELOW + "SELECT n.page_id, CAST(n.seq AS INT) AS node_seq, CAST(n.parent_seq AS INT) AS parent_seq, CAST(count(b.seq) AS INT) AS n_descendants FROM numbered n LEFT JOIN below b ON b.page_id = n.page_id AND b.anc = n.seq GROUP BY ALL",
+    "p1_tables_below": _WALK + _BELOW + "SELECT b.page_id, CAST(b.anc AS INT) AS anc_seq, count(*) AS n_tables FROM below b JOIN numbered n ON n.page_id = b.page_id AND n.seq = b.seq WHERE json_extract_string(n.v, '$.block_type') = 'Table' GROUP BY ALL",
     "p5_found": _P5 + "SELECT * FROM found",
     "p5_report": _P5 + "SELECT src_table, ref_field, ref_month, reason, count(*) AS n_refs, count(DISTINCT row_id) AS n_rows FROM found GROUP BY ALL",
 }

@@ -42,7 +42,7 @@ def test_publish_replaces(spark, tmp_path):
     to = str(tmp_path / "t")
     files.publish(spark.range(3), to)
     files.publish(spark.range(5), to)
-    assert spark.read.parquet(to).count() == 5 and not (tmp_path / "t.tmp").exists()
+    assert files.read_published(spark, to).count() == 5 and len([x for x in (tmp_path / "t").iterdir() if x.name.startswith("v-")]) == 1
     assert files.exists(spark, to) and not files.exists(spark, to, str(tmp_path / "no"))
 
 
