@@ -1,7 +1,7 @@
 """Filling containers of fixed capacity with items of varying length.
 
 Items are integers of tokens, so the whole packing problem is its histogram: how many items there are of each size,
-at most as many numbers as the capacity. The plan is made on the histogram, for runs of equal containers at a time,
+at most as many numbers as there are different sizes. The plan is made on the histogram, for runs of equal containers at a time,
 and the items are then dealt into it by their rank within their size. The plan therefore sees every item of the
 corpus at once, while nothing but counts leaves the cluster.
 
@@ -20,8 +20,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-#: Rows of one size and bucket that are numbered in one sorted run; largest capacity whose histogram a driver plans.
-ROWS_PER_BUCKET, MOST_TOKENS = 250_000, 1 << 17
+#: Rows of one size and bucket that are numbered in one sorted run; different sizes, over all capacities, that a driver plans.
+ROWS_PER_BUCKET, MOST_SIZES = 250_000, 1 << 22
 
 
 class _Plan:
@@ -148,16 +148,16 @@ def pack(sizes: DataFrame, capacities: list[tuple[int, int]], key: str, size: st
     sizes is read more than once: give a stored table. Containers are numbered from 0 for each capacity. An
     item above the capacity is split, others never. Items of size 0 (null counts as 0) need no room and go to
     container 0. Ties go by key; of repeated keys each row is an item of its own. Capacities below 1 are left
-    out; without capacities or rows the result is empty.
+    out; without capacities or rows the result is empty. Capacities may be of any size; ValueError if items have more than MOST_SIZES different sizes.
     """
     capacities = [(i, c) for i, c in capacities if c is not None and c > 0]
-    if any(c > MOST_TOKENS for _, c in capacities):
-        raise ValueError(f"capacities above {MOST_TOKENS} need a coarser unit")
     sizes = sizes.select(F.col(key), F.coalesce(F.col(size), F.lit(0)).alias(size))
     if not capacities:
         return split_items(sizes, [(0, 1)], key, size).withColumn("container_id", F.lit(0).cast("long")).filter(F.lit(False))
     items = split_items(sizes, capacities, key, size)
-    counts = items.groupBy("capacity_id", "n_tokens").agg(F.count("*").alias("n")).toPandas()  # one row for each size up to the capacity
+    counts = items.groupBy("capacity_id", "n_tokens").agg(F.count("*").alias("n")).limit(MOST_SIZES + 1).toPandas()  # one row for each size that is met
+    if len(counts) > MOST_SIZES:
+        raise ValueError(f"items of more than {MOST_SIZES} different sizes need a coarser unit")
     n_buckets = int(max(1, -(-int(counts["n"].max() if len(counts) else 1) // ROWS_PER_BUCKET)))
 
     plans = {}
@@ -187,8 +187,10 @@ def _dealer(spark, plans: dict[int, list[tuple[int, int, int, int]]]):
     @F.pandas_udf("long")
     def container(cap: pd.Series, size: pd.Series, rank: pd.Series) -> pd.Series:
         t = shared.value
-        names = np.unique(t[:, 0])
-        place = lambda c, s, r: (np.searchsorted(names, c) * (MOST_TOKENS + 1) + s) * (1 << 40) + r
+        caps = np.unique(t[:, 0])
+        pair = lambda c, s: (c << 33) + s  # noqa: E731  a size is below 2^33
+        names = np.unique(pair(np.searchsorted(caps, t[:, 0]), t[:, 1]))
+        place = lambda c, s, r: (np.searchsorted(names, pair(np.searchsorted(caps, c), s)) << 40) + r
         size_, rank_ = size.to_numpy(np.int64), rank.to_numpy(np.int64)
         if not len(t):
             return pd.Series(np.zeros(len(size_), np.int64))

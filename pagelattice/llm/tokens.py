@@ -14,7 +14,6 @@ import json
 import os
 from array import array
 from collections.abc import Iterator
-from functools import lru_cache
 from heapq import heapify, heappop, heappush
 
 import pyarrow as pa
@@ -40,8 +39,11 @@ def byte_letters() -> dict[str, int]:
 class Encoder:
     """A vocabulary file and its merge rules. Special tokens are never produced."""
 
-    def __init__(self, path: str = VOCABULARY):
-        model = json.load(open(path, encoding="utf-8"))["model"]
+    def __init__(self, path: str = VOCABULARY, data: bytes | None = None):
+        if data is None:
+            with open(path, "rb") as f:
+                data = f.read()
+        model = json.loads(data)["model"]
         letters = byte_letters()
         raw = {word: bytes(letters[c] for c in word) for word in model["vocab"] if all(c in letters for c in word)}
         self.ids = {b: model["vocab"][w] for w, b in raw.items()}
@@ -116,18 +118,32 @@ class Encoder:
         return b"".join(self.strings[i] for i in ids).decode("utf-8", "replace")
 
 
-@lru_cache(maxsize=4)
-def encoder(path: str = VOCABULARY) -> Encoder:
-    """The worker's encoder of a vocabulary file, read once."""
-    return Encoder(path)
+_ENCODERS: dict[str, Encoder] = {}
 
 
-def _batches(path: str, counts: bool):
+def encoder(path: str = VOCABULARY, shared=None) -> Encoder:
+    """The process's encoder of a vocabulary file, made once; from the broadcast bytes of the file, where they are given."""
+    if path not in _ENCODERS:
+        _ENCODERS[path] = Encoder(path, None if shared is None else shared.value)
+    return _ENCODERS[path]
+
+
+def _shipped(df: DataFrame, path: str):
+    """The vocabulary file, read by the driver, as a broadcast: workers need not have it."""
+    sc = df.sparkSession.sparkContext
+    held = sc.__dict__.setdefault("_pagelattice_vocabularies", {})
+    if path not in held:
+        with open(path, "rb") as f:
+            held[path] = sc.broadcast(f.read())
+    return held[path]
+
+
+def _batches(path: str, shared, counts: bool):
     kind = pa.int32() if counts else pa.list_(pa.int32())
     limit = 1 << 22  # ids in a batch that goes back to the JVM
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = encoder(path)
+        enc = encoder(path, shared)
         for batch in batches:
             keys, texts = batch.column(0), batch.column(1)
             start, offsets, flat = 0, [0], array("i")
@@ -161,7 +177,7 @@ def encode_column(df: DataFrame, key: str, text: str, out: str = "ids", *, path:
     those of the vocabulary without special tokens; their strings in a text are ordinary text. Repeated
     rows and null keys come out as they come in; other columns are not read.
     """
-    run, kind = _batches(path, counts)
+    run, kind = _batches(path, _shipped(df, path), counts)
     key_type = dict(df.dtypes)[key]
     return df.select(F.col(key).alias("__key"), F.col(text).cast("string").alias("__text")).mapInArrow(run, f"__key {key_type}, __out {kind}").select(F.col("__key").alias(key), F.col("__out").alias(out))
 
@@ -169,8 +185,10 @@ def encode_column(df: DataFrame, key: str, text: str, out: str = "ids", *, path:
 def decode_column(df: DataFrame, key: str, ids: str, out: str = "text", *, path: str = VOCABULARY) -> DataFrame:
     """key and the text of the ids; null for null. Bytes that are no UTF-8 become the replacement character."""
 
+    shared = _shipped(df, path)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = encoder(path)
+        enc = encoder(path, shared)
         for b in batches:
             texts = [None if x is None else enc.decode(x) for x in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(texts, pa.string())], names=["__key", "__out"])

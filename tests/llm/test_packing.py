@@ -1,5 +1,6 @@
 from collections import Counter, defaultdict
 
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -94,3 +95,18 @@ def test_documents_fill_well(spark, small):
     for r in queries.p7_fill(spark, small).collect():
         assert r.fullest <= {1: 512, 2: 2048, 3: 8192}[r.capacity_id]
         assert r.fill > 0.95 or r.n_containers < 20
+
+
+def test_large_capacities_and_many_sizes(spark, monkeypatch):
+    """A capacity beyond any fixed bound is packed as any other; too many different sizes are refused, not cut."""
+    df = spark.createDataFrame([(i, 10**6 * (i % 7 + 1)) for i in range(40)], "k long, n long")
+    packed = P.pack(df, [(1, 10**7), (2, 2 * 10**9)], "k", "n").collect()
+    for cap_id, cap in ((1, 10**7), (2, 2 * 10**9)):
+        fill = {}
+        for r in packed:
+            if r.capacity_id == cap_id:
+                fill[r.container_id] = fill.get(r.container_id, 0) + r.n_tokens
+        assert sum(fill.values()) == sum(10**6 * (i % 7 + 1) for i in range(40)) and max(fill.values()) <= cap
+    monkeypatch.setattr(P, "MOST_SIZES", 3)
+    with pytest.raises(ValueError, match="different sizes"):
+        P.pack(df, [(1, 10**7)], "k", "n")
