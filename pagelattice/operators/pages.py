@@ -132,10 +132,12 @@ def unique_paths(rows: DataFrame) -> DataFrame:
 
     def resolve(key, frame):
         used, out = set(), []
+        tried: dict[str, int] = {}  # all numbers of a path below this one are used
         for path in frame.sort_values("no")["rel_path"]:
-            base, n, free = path[:-3], 2, path
+            base, free = path[:-3], path
             while free in used:
-                free, n = f"{base}_{n:02d}.md", n + 1
+                n = tried.get(base, 2)
+                free, tried[base] = f"{base}_{n:02d}.md", n + 1
             used.add(free)
             out.append(free)
         frame = frame.sort_values("no")

@@ -66,15 +66,7 @@ def a3_text_records(spark, d):
     return records.text_records(found, ["manual_id"], ["idx", "page_id", "node_seq", "nth"]).select("manual_id", "id", "brief")
 
 
-def s_printed(e: str) -> str:
-    """A number as a brief prints it, with HUGEINT in place of decimals."""
-    t = f"replace(trim({e}), ' ', '')"
-    n = rf"CAST(regexp_extract({t}, '2\^(\d+)', 1) AS INT)"
-    power = f"(CASE WHEN {t}[1] = '-' THEN -1 ELSE 1 END)::HUGEINT * (1::HUGEINT << {n}) - (CASE WHEN regexp_matches({t}, '\\d-1$') THEN 1 ELSE 0 END)"
-    return rf"CASE WHEN regexp_matches({t}, '^-?\d+$') THEN CAST(TRY_CAST({t} AS HUGEINT) AS VARCHAR) WHEN regexp_matches({t}, '^(-?)2\^(\d+)(-1)?$') THEN CAST({power} AS VARCHAR) WHEN regexp_matches(trim({e}), '^-?\d+\.\d+$') THEN CAST(CAST(trim({e}) AS DOUBLE) AS VARCHAR) END"
-
-
-@query(f"WITH v AS (SELECT reg_id, default_value, CASE WHEN reg_id % 3 = 0 THEN '2^' || (reg_id % 100) ELSE '-2^' || (reg_id % 100) || '-1' END AS p FROM device_registers) SELECT reg_id, {s_printed('default_value')} AS printed, {s_printed('p')} AS power FROM v")
+@query(f"WITH v AS (SELECT reg_id, default_value, CASE WHEN reg_id % 3 = 0 THEN '2^' || (reg_id % 100) ELSE '-2^' || (reg_id % 100) || '-1' END AS p FROM device_registers) SELECT reg_id, {M.s_printed('default_value')} AS printed, {M.s_printed('p')} AS power FROM v")
 def f26_printed_numbers(spark, d):
     """Defaults, and powers up to 2^99, exactly as printed."""
     regs = table(spark, d, "device_registers", "reg_id", "default_value")

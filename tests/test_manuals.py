@@ -197,6 +197,21 @@ def test_briefs_of_all_registers(spark, small, read):
         parts = [r.param_name, f"Range {limit(m[1])} to {limit(m[2])}." if m else None]
         parts += [f"{k} {x}." if x is not None else None for k, x in (("Default", r.default_value), ("Unit", r.unit or None), ("Write condition", r.write_condition), ("Takes effect", r.takes_effect))]
         want[r.reg_id] = " ".join(x for x in parts if x is not None)
-    got = {r.reg_id: r.brief for r in manual_queries.f28_all_briefs(spark, small).collect()}
+    got = {r.reg_id: r.brief for r in manual_queries.f28_briefs(spark, small).collect()}
     assert got == want and any(re.search(r"Range -?\d+\.\d", x) for x in got.values())
-    assert {r.reg_id: r.brief for r in manual_queries.f28_briefs(spark, small).collect()}.items() <= got.items()
+
+
+def test_states_of_all_maps(spark, small, read):
+    from pagelattice.plans import manual_queries
+
+    want = {}
+    for r in read("device_registers").collect():
+        if not r.value_map:
+            continue
+        text = " ".join(f"{k}: {v or ''}" for k, v in r.value_map.items()).strip()
+        last = {}
+        for k, v in re.findall(r"(-?\d+)\s*:\s*([^:]+?)(?=(?:\s+-?\d+\s*:)|$)", text):
+            last[str(int(k))] = re.sub(r"\s+", " ", v).strip()
+        want[r.reg_id] = sorted(f"{k}={v}" for k, v in last.items())
+    got = {r.reg_id: sorted(r.states) for r in manual_queries.f33_states(spark, small).collect()}
+    assert got == want and len(got) > 20
