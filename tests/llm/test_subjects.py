@@ -96,7 +96,7 @@ def test_language():
 def test_longer_lists_are_refused(spark, tmp_path, monkeypatch):
     from pagelattice.llm import queries
 
-    spark.range(61).selectExpr("cast(id as int) as capacity_id", "512 as capacity_tokens").write.parquet(str(tmp_path / "capacities.parquet"))
+    spark.range(1001).selectExpr("cast(id as int) as capacity_id", "512 as capacity_tokens").write.parquet(str(tmp_path / "capacities.parquet"))
     with pytest.raises(ValueError):
         queries._capacities(spark, str(tmp_path))
     docs = spark.createDataFrame([], "doc_id long, text string, lang string")
