@@ -19,7 +19,7 @@ def ask(spark, make, *values):
 def test_ranges_and_numbers(spark):
     got = ask(spark, R.range_value, "0-20000", "1 to 31", "-9999-9999", "-2^31-(2^31-1)", "0-(2^32-1)", "1-(2^{32}-1)", "-", "", "0~5", None, "1.5-2")
     assert [tuple(x) if x else None for x in got] == [(0, 20000), (1, 31), (-9999, 9999), (-(2**31), 2**31 - 1), (0, 2**32 - 1), (1, 2**32 - 1), None, None, None, None, (1.5, 2)]
-    assert ask(spark, R.number_value, "-", "12", "-3.5", "2^4-1", "2^99", "x", None, " 7 ") == [None, 12, -3.5, 15, None, None, None, 7]
+    assert ask(spark, R.number_value, "-", "12", "-3.5", "2^4-1", "2^99", "2^125", "x", None, " 7 ") == [None, 12, -3.5, 15, 2.0**99, None, None, None, 7]
 
 
 def test_units_maps_and_bits(spark):
@@ -93,7 +93,7 @@ def test_paths_become_unique(spark):
 
 
 def record(pid, **kw):
-    base = dict(id=pid, name=pid, brief="No description in manual.", data_type="uint16", access="read_write", low=None, high=None, default=None, unit=None, scale=None, value_map=None, bit_layout=None, write_condition=None, takes_effect=None, source_page=1, register_count=1, priority=1)
+    base = dict(id=pid, name=pid, brief="No description in manual.", data_type="uint16", access="read_write", low=None, high=None, default=None, low_text=None, high_text=None, default_text=None, unit=None, scale=None, value_map=None, bit_layout=None, write_condition=None, takes_effect=None, source_page=1, register_count=1, priority=1)
     return base | kw
 
 
